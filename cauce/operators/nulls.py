@@ -45,8 +45,8 @@ def _flag_value(rule: Flag) -> Column:
 
 def apply_null_rules(df: DataFrame, rules: Sequence[Exclude | Impute | Flag]) -> DataFrame:
     """Filter first, then impute and flag in one projection that sees the original values."""
-    required = [r.column for r in rules if isinstance(r, Exclude)]
-    kept = df.na.drop(subset=required) if required else df
+    required = [F.col(r.column).isNotNull() for r in rules if isinstance(r, Exclude)]
+    kept = df.where(reduce(Column.__and__, required)) if required else df
     changed: dict[str, Column] = {}
     for rule in rules:
         if isinstance(rule, Impute):

@@ -173,8 +173,8 @@ class Warehouse:
 
     def test_results(self, stage: str | None = None) -> DataFrame:
         tests = TESTS[stage] if stage else ALL_TESTS
-        return run_tests({t.table: self[t.table] for t in tests}
-                         | {t.parent: self[t.parent] for t in tests if isinstance(t, Related)}, tests)
+        names = {t.table for t in tests} | {t.parent for t in tests if isinstance(t, Related)}
+        return run_tests({name: self[name] for name in names}, tests)
 
     def test_layer(self, stage: str) -> None:
         failed = self.test_results(stage).where("fallas > 0").collect()

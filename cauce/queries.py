@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
-from functools import cached_property
+from dataclasses import replace
+from datetime import date, datetime, timedelta
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,12 +13,20 @@ from pyspark.sql import types as T
 
 from cauce import oracle
 from cauce.context import RunContext
+from cauce.functions import rules
+from cauce.functions.numbers import repaired_int
+from cauce.operators import checks, faults
+from cauce.operators.checks import Accepted, NotNull, Related, Unique
 from cauce.operators.dedup import distinct_rows
 from cauce.operators.integrity import with_parent
 from cauce.operators.nulls import apply_null_rules
-from cauce.plans import gold, quality, rejects, silver
+from cauce.plans import gold, ingest, layers, monitor, quality, rejects, silver
+from cauce.plans.fault_run import inject_all
 from cauce.schemas import CLIENTES, COMISIONES, MOVIMIENTOS, OBLIGACIONES, PRODUCTOS, SOURCES, SUCURSALES
-from cauce.sources.driver_tables import AS_OF, raw_table, source_table
+from cauce.session import shared_folder
+from cauce.sources import files
+from cauce.sources.driver_tables import AS_OF, BATCHES, SOURCE_SYSTEM, raw_table, source_table
+from cauce.sources.lake import Lake, merge_snapshot
 
 CONTEXT = RunContext(as_of=date.fromisoformat(AS_OF), run_ts=f"{AS_OF} 06:00:00", pii_salt="sal-de-prueba")
 
@@ -103,6 +112,48 @@ class Tables:
         return gold.kpi_cartera_diaria(self.cartera, self.dim_clientes, CONTEXT)
 
 
+    def model(self, name: str) -> DataFrame:
+        """A Silver or Gold model, or a raw table, by its table name."""
+        frames = {
+            "stg_clientes": lambda: self.clientes, "stg_productos": lambda: self.productos,
+            "stg_sucursales": lambda: self.sucursales, "stg_movimientos": lambda: self.movimientos,
+            "stg_obligaciones": lambda: self.obligaciones, "stg_comisiones": lambda: self.comisiones,
+            "dim_clientes": lambda: self.dim_clientes, "dim_productos": lambda: self.dim_productos,
+            "dim_geografia": lambda: gold.dim_geografia(self.spark), "dim_canal": lambda: gold.dim_canal(self.spark),
+            "fact_transacciones": lambda: self.transacciones, "fact_cartera": lambda: self.cartera,
+            "fact_rentabilidad_cliente": lambda: self.rentabilidad, "kpi_cartera_diaria": lambda: self.kpi,
+        }
+        return frames[name]() if name in frames else self.raw(name)
+
+    def lake(self, purpose: str) -> Lake:
+        return Lake(self.spark, shared_folder(self.spark, purpose))
+
+    @cached_property
+    def volumes(self) -> DataFrame:
+        """Rows per month and incremental table, as if one run had loaded each month."""
+
+        def monthly(name: str) -> DataFrame:
+            month = rules.month_of(F.col(SOURCES[name].watermark)).alias("month")
+            return self.source(name).groupBy(month).agg(F.count(F.lit(1)).alias("rows")).select(
+                F.concat(F.lit("run-"), "month").alias("batch_id"),
+                F.concat("month", F.lit("-01T02:00:00+00:00")).alias("started_at"),
+                F.lit(name).alias("tabla"), "rows",
+            )
+
+        return monthly(MOVIMIENTOS).unionByName(monthly(COMISIONES))
+
+    @cached_property
+    def run_log(self) -> DataFrame:
+        """The same as a nested run log; a run has at most one entry per source table."""
+        entry = F.struct(
+            F.lit("incremental").alias("mode"), "rows", F.lit(None).cast("bigint").alias("size_bytes"),
+            F.lit(None).cast("double").alias("duration_s"), F.lit(None).cast("string").alias("path"),
+        )
+        return self.volumes.groupBy("batch_id", "started_at").agg(
+            F.map_from_entries(F.collect_list(F.struct("tabla", entry))).alias("tables")
+        )
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Decimals as doubles, which is how the other engine hands them to its client."""
     return df.select(
@@ -218,3 +269,286 @@ register("cartera_por_calificacion", lambda t: gold.portfolio_by_rating(t.carter
          "SELECT calif_regulatoria, count(*) AS obligaciones, sum(sdo_capital) AS saldo, "
          f"sum({oracle.cents('provision_estimada')})::DOUBLE / 100 AS provision FROM f_obl GROUP BY ALL",
          "saldo")
+
+
+# Bronze and raw
+INGESTED_AT = [datetime.fromisoformat(b[1]) for b in BATCHES]
+
+
+def three_runs(t: Tables, *names: str) -> ingest.Ingestion:
+    """Three ingestion runs; each sees the rows dated before its limit, as a growing source would."""
+    ingestion = ingest.Ingestion(t.lake("bronze"), SOURCE_SYSTEM, {n: SOURCES[n] for n in names})
+    for (batch_id, _, limit), at in zip(BATCHES, INGESTED_AT):
+
+        def read(table, _last, limit=limit):
+            rows = t.source(table.name)
+            return rows.where(F.col(table.watermark) < F.lit(limit).cast("date")) if table.watermark and limit else rows
+
+        ingestion.run(read, batch_id, at)
+    return ingestion
+
+
+def raw_rows(t: Tables, name: str) -> DataFrame:
+    ingestion = three_runs(t, name)
+    return ingest.batch_rows(ingestion.lake, SOURCES[name], ingestion.run_log())
+
+
+def next_watermarks(t: Tables, limit: str) -> DataFrame:
+    parts = []
+    for name in (MOVIMIENTOS, COMISIONES):
+        column = SOURCES[name].watermark
+        seen = t.source(name).where(F.col(column) < F.lit(limit).cast("date"))
+        batch = ingest.newer_rows(seen, column, "2024-12-31")
+        parts.append(ingest.next_watermark(batch, column, "2024-12-31").select(F.lit(name).alias("tabla"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def round_trip(t: Tables, name: str) -> DataFrame:
+    path = shared_folder(t.spark, "files")
+    files.write_table(t.source(name), path, SOURCES[name])
+    return files.read_table(t.spark, path, SOURCES[name])
+
+
+def partition_counts(t: Tables) -> DataFrame:
+    table = SOURCES[MOVIMIENTOS]
+    stored = three_runs(t, MOVIMIENTOS).lake.bronze(table)
+    return stored.groupBy("year", "month", "day", "batch_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+_BATCH_TIMES = " ".join(f"WHEN '{b[0]}' THEN TIMESTAMP '{b[1][:19]}'" for b in BATCHES)
+register("bronze_full_extract", lambda t: ingest.newer_rows(t.source(CLIENTES), "fec_alta", None), "FROM src_cli")
+register("bronze_incremental_extract", lambda t: ingest.newer_rows(t.source(MOVIMIENTOS), "fec_mov", "2025-03-01"),
+         "FROM src_mov WHERE fec_mov > DATE '2025-03-01'", "vr_mov")
+register("bronze_next_watermark", lambda t: next_watermarks(t, "2025-03-01"),
+         " UNION ALL ".join(f"SELECT '{n}' AS tabla, max({c}) AS last_value FROM src_{s} "
+                            f"WHERE {c} BETWEEN DATE '2025-01-01' AND DATE '2025-02-28'"
+                            for n, c, s in ((MOVIMIENTOS, "fec_mov", "mov"), (COMISIONES, "fec_cobro", "com"))))
+register("bronze_audit_columns",
+         lambda t: ingest.with_audit(t.source(OBLIGACIONES), BATCHES[-1][0], SOURCE_SYSTEM, INGESTED_AT[-1]),
+         "FROM raw_obl", "vr_aprobado vr_desembolsado sdo_capital vr_cuota")
+register("bronze_partition_layout", partition_counts,
+         "SELECT strftime(day_of, '%Y') AS year, strftime(day_of, '%m') AS month, strftime(day_of, '%d') AS day, "
+         f"batch_id, count(*) AS n FROM (SELECT *, CASE batch_id {_BATCH_TIMES} END AS day_of FROM raw_mov) "
+         "GROUP BY ALL")
+register("raw_latest_batch", lambda t: raw_rows(t, CLIENTES), "FROM raw_cli")
+register("raw_all_batches", lambda t: raw_rows(t, MOVIMIENTOS), "FROM raw_mov", "vr_mov")
+register("source_csv_roundtrip", lambda t: round_trip(t, PRODUCTOS), "FROM src_prod",
+         "tasa_ea cuota_min comision_admin")
+register("source_json_roundtrip", lambda t: round_trip(t, CLIENTES), "FROM src_cli")
+register("source_row_counts", lambda t: quality.table_counts(t.all_sources),
+         " UNION ALL ".join(f"SELECT '{n}' AS tabla, count(*) AS filas_totales FROM src_{s}"
+                            for n, s in oracle.SHORT.items()))
+register(
+    "nullable_int_repair",
+    lambda t: t.source(CLIENTES).select(
+        "id_cli",
+        F.when(F.col("score_buro") % 7 == 0, "n/a").otherwise(F.col("score_buro").cast("double").cast("string"))
+        .alias("texto"),
+    ).select("id_cli", "texto", repaired_int(F.col("texto")).alias("score_buro")),
+    "SELECT id_cli, if(score_buro % 7 = 0, 'n/a', score_buro::VARCHAR || '.0') AS texto, "
+    "if(score_buro % 7 = 0, NULL, score_buro) AS score_buro FROM src_cli",
+)
+register(
+    "num_cuenta",
+    lambda t: t.source(OBLIGACIONES).select(
+        "id_oblig", rules.account_number(F.col("id_cli"), F.col("cod_prod")).alias("num_cuenta")),
+    "SELECT id_oblig, '8' || substr(id_cli, 4) || substr(cod_prod, 4) AS num_cuenta FROM src_obl",
+)
+
+
+def snapshot_history(t: Tables) -> DataFrame:
+    """Yesterday's snapshot, then today's from some loans, then today's again from others."""
+    lake, path = t.lake("snapshots"), "gold/kpi_cartera_diaria"
+    runs = (
+        (CONTEXT.as_of - timedelta(days=1), F.lit(True)),
+        (CONTEXT.as_of, F.col("calif_riesgo_fuente") == "NORMAL"),
+        (CONTEXT.as_of, F.col("calif_riesgo_fuente") == "VIGILANCIA"),
+    )
+    for number, (day, condition) in enumerate(runs):
+        new = gold.kpi_cartera_diaria(t.cartera.where(condition), t.dim_clientes, replace(CONTEXT, as_of=day))
+        keys = layers.MODELS["kpi_cartera_diaria"].snapshot_keys
+        merge_snapshot(lake, new, f"{lake.root}/{path}", "fecha_corte", keys, f"{lake.root}/staging/{number}")
+    return t.spark.read.schema(new.schema).parquet(f"{lake.root}/{path}")
+
+
+_RISK_KPI = _CTES["kpi"].replace("FROM t_obl", "FROM (FROM t_obl WHERE calif_riesgo = '{}') t_obl")
+register(
+    "kpi_snapshot_upsert", snapshot_history,
+    f"""SELECT * REPLACE (fecha_corte - 1 AS fecha_corte) FROM kpi
+        UNION ALL FROM ({_RISK_KPI.format('VIGILANCIA')})
+        UNION ALL SELECT o.* FROM ({_RISK_KPI.format('NORMAL')}) o
+        WHERE NOT EXISTS (FROM t_obl l JOIN t_cli c USING (id_cli)
+                          WHERE l.calif_riesgo = 'VIGILANCIA' AND l.cod_prod = o.cod_prod
+                            AND c.cod_segmento IS NOT DISTINCT FROM o.cod_segmento AND c.ciudad_res = o.ciudad)""",
+    "monto_total_cartera monto_en_mora",
+)
+
+# monitoring
+_CTES["volumes"] = " UNION ALL ".join(
+    f"SELECT 'run-' || strftime({c}, '%Y-%m') AS batch_id, strftime({c}, '%Y-%m-01T02:00:00+00:00') AS started_at, "
+    f"'{n}' AS tabla, count(*) AS rows FROM src_{s} GROUP BY ALL"
+    for n, c, s in ((MOVIMIENTOS, "fec_mov", "mov"), (COMISIONES, "fec_cobro", "com")))
+_CTES["volume_means"] = """
+    SELECT cur.*, count(old.rows) AS k, sum(old.rows) AS total
+    FROM volumes cur JOIN volumes old ON old.tabla = cur.tabla
+    WHERE old.batch_id IN (SELECT DISTINCT v.batch_id FROM volumes v WHERE v.started_at < cur.started_at
+                           ORDER BY v.batch_id DESC LIMIT 7)
+    GROUP BY ALL"""
+register("run_log_flat", lambda t: ingest.flat_run_log(t.run_log).select("batch_id", "started_at", "tabla", "mode", "rows"),
+         "SELECT batch_id, started_at, tabla, 'incremental' AS mode, rows FROM volumes")
+register(
+    "run_log_json",
+    lambda t: t.run_log.select(F.to_json(F.struct("*")).alias("doc"))
+    .select(F.from_json("doc", ingest.RUN_LOG_SCHEMA).alias("log"))
+    .select("log.batch_id", F.try_element_at("log.tables", F.lit(MOVIMIENTOS))["rows"].alias("rows")),
+    f"SELECT batch_id, max(rows) FILTER (tabla = '{MOVIMIENTOS}') AS rows FROM volumes GROUP BY ALL",
+)
+register("volume_history_last7", lambda t: monitor.latest_volumes(t.volumes),
+         "FROM volumes WHERE batch_id IN (SELECT DISTINCT v.batch_id FROM volumes v ORDER BY 1 DESC LIMIT 7)")
+register(
+    "volume_anomaly", lambda t: monitor.volume_anomalies(t.volumes),
+    f"""SELECT batch_id, started_at, tabla, rows AS current_rows, {oracle.half_up('total', 'k')} AS avg_last_7_runs,
+               {oracle.half_up_pct('abs(rows * k - total)', 'total')} AS pct_diff
+        FROM volume_means WHERE k >= 3 AND abs(rows * k - total) * 10 > total * 3""",
+)
+register("pipeline_summary", lambda t: monitor.pipeline_summary(t.movimientos, t.transacciones, t.cartera, t.errores),
+         "SELECT (SELECT count(*) FROM t_mov) AS silver_movimientos, (SELECT count(*) FROM f_mov) AS gold_transacciones,"
+         " (SELECT count(*) FROM f_obl) AS gold_cartera, (SELECT count(*) FROM rejects) AS quality_errors")
+register("null_rate_profile", lambda t: quality.null_rate_profile(t.all_sources),
+         " UNION ALL ".join(
+             f"SELECT '{n}' AS tabla, count(*) AS filas, "
+             + oracle.half_up_pct(" + ".join(f"count(*) - count({c})" for c in SOURCES[n].columns),
+                                  f"count(*) * {len(SOURCES[n].columns)}")
+             + f" AS pct_nulos_promedio FROM src_{s}" for n, s in oracle.SHORT.items()))
+register("pii_mask_check", lambda t: quality.mask_check(t.clientes),
+         " UNION ALL ".join(
+             f"SELECT '{c}' AS columna, count({c}) AS valores, "
+             f"count(*) FILTER (length({c}) <> 64 OR {c} SIMILAR TO '.*[^0-9a-f].*') AS sin_mascara FROM t_cli"
+             for c in ("nomb_cli_hash", "apell_cli_hash", "num_doc_hash")))
+
+# table tests: those of the models, and the same kinds on raw tables, which do fail
+_TWIN_TABLES = {
+    "stg_clientes": "t_cli", "stg_productos": "t_prod", "stg_sucursales": "t_suc", "stg_movimientos": "t_mov",
+    "stg_obligaciones": "t_obl", "stg_comisiones": "t_com", "dim_clientes": "d_cli", "dim_productos": "d_prod",
+    "fact_transacciones": "f_mov", "fact_cartera": "f_obl", "fact_rentabilidad_cliente": "f_rent",
+    "kpi_cartera_diaria": "kpi", **{n: f"raw_{s}" for n, s in oracle.SHORT.items()},
+    "dim_canal": "(SELECT unnest(['APP', 'WEB', 'CORRESPONSAL', 'OFICINA', 'CAJERO']) AS cod_canal, "
+                 "unnest(['DIGITAL', 'DIGITAL', 'FISICO', 'FISICO', 'FISICO']) AS tipo_canal)",
+    "dim_geografia": "(SELECT unnest(['BOG', 'MED', 'CAL', 'BAQ', 'BGA', 'CDMX', 'GDL', 'MTY', 'LIM', 'AQP', 'SCL', "
+                     "'VAP', 'BUE', 'COR']) AS cod_ciudad)",
+}
+RAW_TESTS: tuple[checks.Test, ...] = (
+    NotNull(CLIENTES, "num_doc"), NotNull(OBLIGACIONES, "id_cli"), Unique(MOVIMIENTOS, "id_mov"),
+    Unique(OBLIGACIONES, "cod_prod"), Accepted(MOVIMIENTOS, "cod_canal", ("APP", "WEB")),
+    Accepted(CLIENTES, "cod_segmento", ("BAS", "STD")), Related(MOVIMIENTOS, "id_cli", "stg_clientes", "id_cli"),
+    Related(COMISIONES, "id_cli", "stg_clientes", "id_cli"),
+    checks.NoRows("vr_mov_positivo", MOVIMIENTOS, "vr_mov <= 0"),
+    checks.NoRows("dias_mora_no_negativo", OBLIGACIONES, "dias_mora_act < 0"),
+)
+
+
+def twin_of_test(test: checks.Test) -> str:
+    table, column = _TWIN_TABLES[test.table], getattr(test, "column", "")
+    if isinstance(test, NotNull):
+        found = f"SELECT count(*) - count({column}) FROM {table}"
+    elif isinstance(test, Accepted):
+        values = ", ".join(f"'{v}'" for v in test.values)
+        found = f"SELECT count(*) FROM {table} WHERE {column} NOT IN ({values})"
+    elif isinstance(test, checks.NoRows):
+        found = f"SELECT count(*) FROM {table} WHERE {test.condition}"
+    elif isinstance(test, Unique):
+        found = f"SELECT count(*) FROM (SELECT {column} FROM {table} WHERE {column} IS NOT NULL " \
+                "GROUP BY 1 HAVING count(*) > 1)"
+    else:
+        found = f"SELECT count(*) FROM {table} x WHERE {column} IS NOT NULL AND NOT EXISTS " \
+                f"(SELECT 1 FROM {_TWIN_TABLES[test.parent]} p WHERE p.{test.parent_column} = x.{column})"
+    return f"SELECT '{test.name}' AS prueba, ({found}) AS fallas"
+
+
+def register_tests(name: str, *kinds: type, only: str = "") -> None:
+    chosen = [x for x in (*layers.ALL_TESTS, *RAW_TESTS) if isinstance(x, kinds) and x.name.startswith(only)]
+    tables = {x.table for x in chosen} | {x.parent for x in chosen if isinstance(x, Related)}
+    register(name, lambda t: checks.run_tests({n: t.model(n) for n in tables}, chosen),
+             " UNION ALL ".join(map(twin_of_test, chosen)))
+
+
+register_tests("test_not_null", NotNull)
+register_tests("test_unique", Unique)
+register_tests("test_accepted_values", Accepted)
+register_tests("test_relationships", Related)
+register_tests("test_vr_mov_positivo", checks.NoRows, only="vr_mov")
+register_tests("test_dias_mora", checks.NoRows, only="dias_mora")
+
+
+def pipeline_tests(t: Tables) -> DataFrame:
+    """The whole daily run into a lake of its own, then its tests on the stored tables."""
+    ingestion = ingest.Ingestion(t.lake("pipeline"), SOURCE_SYSTEM)
+    warehouse = layers.run_pipeline(ingestion, lambda table, _last: t.source(table.name), CONTEXT, test=False)
+    return warehouse.test_results()
+
+
+register("dq_test_results", pipeline_tests, " UNION ALL ".join(map(twin_of_test, layers.ALL_TESTS)))
+
+# controlled defects
+SHARE = 0.01
+
+
+def _ranked(short: str, key: str, seed: str) -> str:
+    """Source rows with digest, rank and size of the sample, for the twins."""
+    columns = ", ".join(f"{c} NULLS FIRST" for c in SOURCES[{s: n for n, s in oracle.SHORT.items()}[short]].columns)
+    return (f"(SELECT *, row_number() OVER (ORDER BY h, {columns}) AS rank FROM (SELECT *, "
+            f"md5({key} || '|{seed}') AS h, floor(count(*) OVER () * {SHARE}::DOUBLE) AS size FROM src_{short}))")
+
+
+def _number(start: int, low: int, high: int) -> str:
+    return f"({low} + ('0x' || substr(h, {start}, 8))::BIGINT % {high - low + 1})::INT"
+
+
+register("inject_duplicados",
+         lambda t: faults.repeat_rows(t.source(MOVIMIENTOS), SHARE, MOVIMIENTOS, "id_mov", "dup").table,
+         f"FROM src_mov UNION ALL SELECT * EXCLUDE (h, rank, size) FROM {_ranked('mov', 'id_mov', 'dup')} "
+         "WHERE rank <= size", "vr_mov")
+register("inject_fechas",
+         lambda t: faults.shift_dates(t.source(MOVIMIENTOS), SHARE, "fec_mov", MOVIMIENTOS, "id_mov",
+                                      date(2025, 7, 31), "fec").table,
+         f"""SELECT * EXCLUDE (h, rank, size) REPLACE (CASE WHEN rank > size THEN fec_mov
+                 WHEN rank <= size // 2 THEN DATE '2025-07-31' + {_number(9, *faults.FUTURE_DAYS)}
+                 ELSE DATE '2015-01-01' - {_number(17, *faults.PAST_DAYS)} END AS fec_mov)
+             FROM {_ranked('mov', 'id_mov', 'fec')}""", "vr_mov")
+register("inject_fk",
+         lambda t: faults.orphan_keys(t.source(COMISIONES), SHARE, "id_cli", COMISIONES, "id_comision", "fk").table,
+         "SELECT * EXCLUDE (h, rank, size) REPLACE (CASE WHEN rank > size THEN id_cli "
+         f"ELSE 'CLI' || (899999 + rank)::VARCHAR END AS id_cli) FROM {_ranked('com', 'id_comision', 'fk')}",
+         "vr_comision")
+register("inject_signo",
+         lambda t: faults.flip_signs(t.source(MOVIMIENTOS), SHARE, "vr_mov", MOVIMIENTOS, "id_mov", "sig").table,
+         "SELECT * EXCLUDE (h, rank, size) REPLACE (if(rank > size, vr_mov, -abs(vr_mov)) AS vr_mov) "
+         f"FROM {_ranked('mov', 'id_mov', 'sig')}", "vr_mov")
+register("inject_saldo",
+         lambda t: faults.inflate_balances(t.source(OBLIGACIONES), SHARE, "sdo_capital", "vr_aprobado", OBLIGACIONES,
+                                           "id_oblig", "sal").table,
+         f"""SELECT * EXCLUDE (h, rank, size) REPLACE (if(rank > size, sdo_capital::DOUBLE,
+                 {oracle.half_up(oracle.cents('vr_aprobado') + ' * ' + _number(9, *faults.INFLATION_PERCENT), '10000')})
+                 AS sdo_capital) FROM {_ranked('obl', 'id_oblig', 'sal')}""",
+         "vr_aprobado vr_desembolsado vr_cuota")
+_BLANKED = ("num_cuotas_pend", "calif_riesgo")
+register("inject_nulos",
+         lambda t: faults.blank_values(t.source(OBLIGACIONES), 0.05, list(_BLANKED), "id_oblig", "nul"),
+         "SELECT * REPLACE (" + ", ".join(
+             f"CASE WHEN ('0x' || substr(md5(id_oblig || '|nul|{c}'), 1, 8))::BIGINT >= {int(0.05 * 2**32)} "
+             f"THEN {c} END AS {c}" for c in _BLANKED) + ") FROM src_obl",
+         "vr_aprobado vr_desembolsado sdo_capital vr_cuota")
+register(
+    "anomaly_log_summary",
+    lambda t: faults.counts_by_kind(
+        inject_all(t.all_sources, date(2025, 7, 31), "log", shared_folder(t.spark, "faults")).log),
+    """SELECT tipo_anomalia, sum(floor(n::DOUBLE * share::DOUBLE))::BIGINT AS n FROM (
+           SELECT 'DUPLICADO_EXACTO' AS tipo_anomalia, 0.003 AS share, count(*) AS n FROM src_mov
+           UNION ALL SELECT k, s, c + floor(c::DOUBLE * 0.003::DOUBLE)
+                     FROM (VALUES ('FECHA_FUERA_DE_RANGO', 0.002), ('FK_HUERFANA', 0.0015),
+                                  ('CAMPO_INCONSISTENTE', 0.002)) v(k, s), (SELECT count(*) AS c FROM src_mov)
+           UNION ALL SELECT k, 0.002, c FROM (VALUES ('FECHA_FUERA_DE_RANGO'), ('CAMPO_INCONSISTENTE')) v(k),
+                                             (SELECT count(*) AS c FROM src_obl)
+           UNION ALL SELECT 'FK_HUERFANA', 0.0015, count(*) FROM src_com)
+       GROUP BY ALL""",
+)
