@@ -7,14 +7,18 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution does three jobs here: it turns a join into a broadcast once the real size
-# of a side is known to be small, it splits the partitions of hot join keys, and it resizes
-# shuffle partitions to the data (so the initial number only has to be large enough).
+# Adaptive execution does four jobs here: it turns a join into a broadcast once the real size
+# of a side is known to be small, splits the partitions of hot join keys, resizes shuffle partitions to
+# the data (so the initial number only has to be large enough), and joins by hash instead of by sort
+# where every partition of one side is small. Sizes of Parquet files are taken times four when a
+# broadcast is considered at planning time, because files are compressed.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
