@@ -24,6 +24,12 @@ def without_parent(child: DataFrame, parent: DataFrame, key: str, parent_key: st
 
 
 def mark_parent(child: DataFrame, parent: DataFrame, key: str, flag: str) -> DataFrame:
-    """``child`` plus a flag: does the key exist in ``parent``? False for rows without a key."""
-    known = parent.select(key).where(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
+    """``child`` plus a flag: does the key exist in ``parent``? False for rows without a key.
+
+    Keys are made distinct together with their length, which changes nothing but where they lie: the
+    join then shuffles them once more by key alone. Adaptive execution splits a hot key (a missing
+    one too) only if both sides of the join come straight from a shuffle made for it.
+    """
+    keys = parent.where(F.col(key).isNotNull()).select(key, F.length(key).alias("_length")).distinct()
+    known = keys.select(key, F.lit(True).alias(flag))
     return child.join(known, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
