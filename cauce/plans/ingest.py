@@ -81,6 +81,11 @@ def flat_run_log(log: DataFrame) -> DataFrame:
     )
 
 
+def read_run_log(lake: Lake) -> DataFrame | None:
+    path = lake.path("bronze", "_logs")
+    return lake.spark.read.schema(RUN_LOG_SCHEMA).parquet(path) if lake.exists(path) else None
+
+
 @dataclass
 class Ingestion:
     """Runs of the Bronze job against one lake."""
@@ -101,9 +106,7 @@ class Ingestion:
         self.lake.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
 
     def run_log(self) -> DataFrame | None:
-        if not self.lake.exists(self._log_path):
-            return None
-        return self.lake.spark.read.schema(RUN_LOG_SCHEMA).parquet(self._log_path)
+        return read_run_log(self.lake)
 
     def watermark(self, table: str) -> date | None:
         """The last value written for the table; entries are only ever added, the latest counts."""
@@ -188,6 +191,20 @@ def batch_rows(lake: Lake, table: SourceTable, run_log: DataFrame) -> DataFrame
     return rows.select(*table.bronze_schema.names)
 
 
+def raw_rows(lake: Lake, table: SourceTable) -> DataFrame:
+    """The raw table: as it was last copied, or else straight from its Bronze batches.
+
+    Bronze is columnar already, so the copy is not needed; without it nothing is written twice.
+    """
+    if lake.exists(lake.raw_path(table)):
+        return lake.spark.read.schema(table.bronze_schema).parquet(lake.raw_path(table))
+    log = read_run_log(lake)
+    rows = batch_rows(lake, table, log) if log is not None else None
+    if rows is None:
+        raise LookupError(f"{table.name} was never ingested")
+    return rows
+
+
 def load_raw(ingestion: Ingestion, table: SourceTable) -> dict[str, Any]:
     """Replace the raw table; without any batch, leave it as it is and say so."""
     log = ingestion.run_log()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cauce.context import RunContext
 from cauce.operators.checks import Accepted, NoRows, NotNull, Related, Test, Unique, run_tests
 from cauce.plans import gold, monitor, quality, rejects, silver
-from cauce.plans.ingest import Ingestion, Reader, load_raw
+from cauce.plans.ingest import Ingestion, Reader, load_raw, raw_rows
 from cauce.schemas import CLIENTES, COMISIONES, MOVIMIENTOS, OBLIGACIONES, PRODUCTOS, SOURCES, SUCURSALES
 from cauce.sources.lake import Lake, Layout, merge_snapshot, write_model
 
@@ -148,8 +148,7 @@ class Warehouse:
 
     @cached_property
     def raw(self) -> Mapping[str, DataFrame]:
-        return {name: self.lake.spark.read.schema(t.bronze_schema).parquet(self.lake.raw_path(t))
-                for name, t in SOURCES.items()}
+        return {name: raw_rows(self.lake, table) for name, table in SOURCES.items()}
 
     def __getitem__(self, model: str) -> DataFrame:
         return self.lake.read(MODELS[model].target_layer, model)
@@ -187,13 +186,18 @@ class Warehouse:
         )
 
 
-def run_pipeline(ingestion: Ingestion, read: Reader, ctx: RunContext, test: bool = True) -> Warehouse:
-    """Bronze, Silver, Gold in this order; a stage that fails is recorded and ends the run."""
+def run_pipeline(
+    ingestion: Ingestion, read: Reader, ctx: RunContext, test: bool = True, copy_raw: bool = False
+) -> Warehouse:
+    """Bronze, Silver, Gold in this order; a stage that fails is recorded and ends the run.
+
+    ``copy_raw`` rebuilds the raw tables from Bronze first; by default Silver reads Bronze itself.
+    """
     lake, started = ingestion.lake, time.time()
     warehouse = Warehouse(lake, ctx)
 
     def silver_stage() -> None:
-        for table in SOURCES.values():
+        for table in SOURCES.values() if copy_raw else ():
             load_raw(ingestion, table)
         warehouse.run_layer("silver")
         if test:

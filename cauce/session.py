@@ -26,9 +26,25 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "cauce", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the pipeline's settings; ``master`` is left to spark-submit by default."""
+BYTES_PER_SHUFFLE_PARTITION = 128 * 1024**2
+FEWEST_PARTITIONS, MOST_PARTITIONS = 200, 100_000
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Partitions for a shuffle of that size. Too many get merged at run time, too few stay too large."""
+    return min(max(input_bytes // BYTES_PER_SHUFFLE_PARTITION, FEWEST_PARTITIONS), MOST_PARTITIONS)
+
+
+def build_session(
+    app: str = "cauce", master: str | None = None, input_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """A session with the pipeline's settings; ``master`` is left to spark-submit by default.
+
+    ``input_bytes`` is the size of the largest table, from which the number of shuffle partitions follows.
+    """
     builder = SparkSession.builder.appName(app)
+    if input_bytes is not None:
+        extra = {"spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes)), **extra}
     if master:
         builder = (
             builder.master(master)
