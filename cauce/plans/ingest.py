@@ -197,7 +197,8 @@ def raw_rows(lake: Lake, table: SourceTable) -> DataFrame:
     Bronze is columnar already, so the copy is not needed; without it nothing is written twice.
     """
     if lake.exists(lake.raw_path(table)):
-        return lake.spark.read.schema(table.bronze_schema).parquet(lake.raw_path(table))
+        copied = lake.spark.read.schema(table.bronze_schema).parquet(lake.raw_path(table))
+        return copied.select(*table.bronze_schema.names)
     log = read_run_log(lake)
     rows = batch_rows(lake, table, log) if log is not None else None
     if rows is None:
