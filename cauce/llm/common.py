@@ -55,13 +55,13 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """
     now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                  .where("a != b").distinct(), label)
-    mark = None
+    mark, hub = None, F.bitwise_not("a")  # another key than the aggregate's: the join's own shuffles can be split
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).select(hub.alias("hub"), "m")
+        large = both.withColumn("hub", hub).join(least, "hub").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m")).select(hub.alias("hub"), "m")
+        small = large.withColumn("hub", hub).join(least, "hub").select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
             .alias("e")).select("e.*").where("a != b").distinct()
         now = stored(small, label)

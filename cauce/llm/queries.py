@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from cauce.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
 from cauce.llm.jaccard_join import op2_ngram_jaccard
+from cauce.llm.shards import op9_sharding
 
 QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_sharding": op9_sharding,
 }
 
-TWINS: dict[str, str] = {}
+TWINS: dict[str, str] = {
+    "op8_benchmark_decontamination": OP8_SQL,
+}
