@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from cauce.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
 from cauce.llm.jaccard_join import op2_ngram_jaccard
+from cauce.llm.language import op4_language_id
+from cauce.llm.mixing import OP1_SQL, op1_mixing
 from cauce.llm.shards import op9_sharding
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op4_language_id": op4_language_id,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_sharding": op9_sharding,
 }
 
 TWINS: dict[str, str] = {
+    "op1_mixing": OP1_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
 }

@@ -3,9 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cauce.llm.common import stored, table
+from cauce.llm.decontaminate import clean
 from cauce.llm.jaccard_join import first_of_each
+from cauce.llm.language import in_known_language
+from cauce.llm.mixing import corpus_levels, mixed, space_tokens
+from cauce.llm.shards import shuffled_shards
+
+SHARE = 0.9  # of the tokens that are left, dealt by the production weights
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters or without a recognised language go."""
+    return in_known_language(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +25,30 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return first_of_each(docs, width=5, threshold=80)
 
 
-STAGES = [("n-gram Jaccard join", near_duplicates)]
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go if a twentieth of their words or more lies in 13-word windows of benchmark items."""
+    return clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole documents up to each source's budget, none twice."""
+    total = docs.agg(F.sum(space_tokens(F.col("text")))).first()[0] or 0
+    names = docs.columns
+    rows = docs.select(F.struct(*names).alias("row"), "doc_id", "text", "lang", "source")
+    return mixed(rows, corpus_levels(), int(total * SHARE), max_epochs=1).select("row.*")
+
+
+def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return shuffled_shards(docs)
+
+
+STAGES = [
+    ("language ID", known_language),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontaminated),
+    ("mixing to target weights", to_target_weights),
+    ("sharding", sharded),
+]
 ORACLE_SQL = None
 
 
