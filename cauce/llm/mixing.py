@@ -68,14 +68,12 @@ def leaf_budgets(leaves: DataFrame, levels: list[Level], total: int | None, max_
     for x in levels:
         weighted = weighted.withColumn(f"w_{x.name}", F.greatest(x.weight, F.lit(0)).cast("long"))
     some = weighted.where(" AND ".join(f"w_{n} > 0" for n in names)).withColumn("cap", F.col("tokens") * max_epochs)
-    whole = F.sum("cap").cast("long")
-    aim = F.sum("tokens").cast("long") if total is None else F.lit(total).cast("long")
-    given = some.groupBy().agg(F.least(whole, aim).alias("budget"))
+    whole, there = some.agg(F.sum("cap"), F.sum("tokens")).first()
+    given = F.lit(min(whole or 0, there or 0 if total is None else total)).cast("long")
     for k, x in enumerate(levels):
         parent = names[:k]
         children = some.groupBy(*names[:k + 1]).agg(F.sum("cap").cast("long").alias("cap"), F.max(f"w_{x.name}").alias("w"))
-        joined = children.join(given, parent) if parent else children.crossJoin(given)  # the root is one row
-        given = _share(joined, parent, x.name)
+        given = _share(children.join(given, parent) if parent else children.withColumn("budget", given), parent, x.name)
     return leaves.join(given, names)
 
 
@@ -87,15 +85,16 @@ def mixed(docs: DataFrame, levels: list[Level], total: int | None = None, max_ep
     base = docs.select(*kept, space_tokens(F.col("text")).alias("n_tokens"),
                        *(F.coalesce(x.value.cast("string"), F.lit("(none)")).alias(x.name) for x in levels)).where("n_tokens > 0")
     leaves = stored(base.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")), "leaves")
-    plan = leaf_budgets(leaves, levels, total, max_epochs).where("budget > 0").select(
-        *names, F.expr("budget div tokens").cast("int").alias("whole"), F.expr("budget % tokens").alias("rest"))
+    plan = stored(leaf_budgets(leaves, levels, total, max_epochs).where("budget > 0").select(
+        *names, F.expr("budget div tokens").cast("int").alias("whole"), F.expr("budget % tokens").alias("rest")), "shares")
     drawn = lambda p: base.join(p, names).withColumn(
         "_h", F.md5(F.concat_ws(":", F.lit(str(seed)), "whole", "doc_id").cast("binary")))
-    slices = drawn(plan).where("rest > 0").groupBy(*names, "rest", F.substring("_h", 1, DIGITS).alias("slice")).agg(
+    # the struct is another key than the join's, so that a hot leaf is added up in all tasks before it meets
+    slices = drawn(plan).where("rest > 0").groupBy(F.struct(*names).alias("leaf"), "rest", F.substring("_h", 1, DIGITS).alias("slice")).agg(
         F.sum("n_tokens").alias("n"))
-    upto = Window.partitionBy(*names).orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
-    ends = slices.withColumn("upto", F.sum("n").over(upto)).where("upto >= rest").groupBy(*names).agg(
-        F.min(F.struct("slice", (F.col("upto") - F.col("n")).alias("before"))).alias("end"))
+    upto = Window.partitionBy("leaf").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
+    ends = slices.withColumn("upto", F.sum("n").over(upto)).where("upto >= rest").groupBy("leaf").agg(
+        F.min(F.struct("slice", (F.col("upto") - F.col("n")).alias("before"))).alias("end")).select("leaf.*", "end")
     plan = stored(plan.join(ends, names, "left").select(*names, "whole", "rest", F.col("end.slice").alias("_slice"),
                                                         F.col("end.before").alias("_before")), "budgets")
     rows = drawn(plan).withColumn("_own", F.substring("_h", 1, DIGITS))
