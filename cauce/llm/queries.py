@@ -7,11 +7,15 @@ from cauce.llm.jaccard_join import op2_ngram_jaccard
 from cauce.llm.language import op4_language_id
 from cauce.llm.mixing import OP1_SQL, op1_mixing
 from cauce.llm.shards import op9_sharding
+from cauce.llm.token_counts import op5_token_counts
+from cauce.llm.token_files import op3_token_files
 
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_token_files": op3_token_files,
     "op4_language_id": op4_language_id,
+    "op5_token_counts": op5_token_counts,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_sharding": op9_sharding,
 }
