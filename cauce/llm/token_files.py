@@ -24,6 +24,7 @@ import json
 import os
 import re
 import struct
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -41,50 +43,105 @@ from cauce.llm.common import partitions_for, scratch, slices, table
 
 MAGIC = b"WMX1"
 BLOCK = 1 << 16  # bits
-MEMO = 300_000
+MEMO = 700_000
 SHARD_TOKENS = 4_000_000
-SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
+PLAIN = "^(?P<lead>[!-&(-/:-@\\[-`{-~]*)(?P<core>[A-Za-zÀ-ÖØ-öø-įı-ſ]+)(?P<trail>[!-&(-/:-@\\[-`{-~]*)$"
 
 
 class WordEncoder:
-    """Ids of whole texts by a tokenizer that drops white space: words go to the library once and are remembered."""
+    """Ids of whole texts by a tokenizer that drops white space.
+
+    Only the distinct words of a batch are looked at. A word of plain Latin letters between punctuation falls into parts
+    that the tokenizer always separates; unknown parts are encoded together in one text, told apart by the end-of-word
+    marks, and remembered by the worker process. Every other word is encoded on its own and remembered as a whole.
+    """
 
     def __init__(self, path: str) -> None:
-        self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, np.ndarray] = {}
-
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        words = [SPACE.split(t) if t else [] for t in texts]
-        new = list({w for ws in words for w in ws if w not in self.memo})
-        if len(self.memo) + len(new) > MEMO:
-            self.memo = {}
-            new = list({w for ws in words for w in ws})
-        for k in range(0, len(new), 10_000):
-            part = new[k:k + 10_000]
-            self.memo.update(zip(part, (np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False))))
-        none = np.empty(0, np.uint32)
-        return [np.concatenate([self.memo[w] for w in ws]) if ws else none for ws in words]
+        known = vars(sys).setdefault("_cauce_token_ids", {}).get(path)
+        if known is None:
+            tokenizer = Tokenizer.from_file(path)
+            ends = np.zeros(tokenizer.get_vocab_size(), bool)
+            ends[[k for t, k in tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+            known = vars(sys)["_cauce_token_ids"][path] = (tokenizer, ends, {"": b""}, {})
+        self.tokenizer, self.ends, self.parts, self.wholes = known
+
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for k in range(0, len(parts), 20_000):
+            some = parts[k:k + 20_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(ends) != len(some):
+                raise ValueError("the tokenizer joined or split the parts")
+            raw = ids.tobytes()
+            out += [raw[i:j] for i, j in zip([0, *ends], ends)]
+        return out
+
+    def _encode_wholes(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for k in range(0, len(words), 10_000)
+                for e in self.tokenizer.encode_batch_fast(words[k:k + 10_000], add_special_tokens=False)]
+
+    @staticmethod
+    def _ids(names: list[str], known: dict[str, bytes], encode) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct strings on end and how many each has; remembers as many as MEMO."""
+        found = list(map(known.get, names))
+        missing = [k for k, x in enumerate(found) if x is None]
+        for k, x in zip(missing, encode([names[k] for k in missing])):
+            found[k] = x
+            if len(known) < MEMO:
+                known[names[k]] = x
+        return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) >> 2
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts on end, and how many each text has."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        ends = split.offsets.to_numpy().astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        names = coded.dictionary
+        three = pc.extract_regex(names, PLAIN)
+        plain = pc.and_(three.is_valid(), pc.invert(pc.match_substring(names, "<|")))
+        cut, whole = three.filter(plain), names.filter(pc.invert(plain))
+        parts = pa.chunked_array([cut.field(0), pc.utf8_lower(cut.field(1)), cut.field(2)]).combine_chunks().dictionary_encode()
+        ids, sizes = self._ids(parts.dictionary.to_pylist(), self.parts, self._encode_parts)
+        whole_ids, whole_sizes = self._ids(whole.to_pylist(), self.wholes, self._encode_wholes)
+        # a word is a run of pieces: three parts, or one whole word, which stand behind the parts
+        mask = plain.to_numpy(zero_copy_only=False)
+        pieces = np.full((len(names), 3), -1, np.int64)
+        pieces[mask] = parts.indices.to_numpy().reshape(3, -1).T
+        pieces[~mask, 0] = len(sizes) + np.arange(len(whole_sizes))
+        ids, sizes = np.concatenate([ids, whole_ids]), np.concatenate([sizes, whole_sizes, [0]])
+        store, per_word = gathered(ids, sizes, pieces.ravel())
+        out, per_occurrence = gathered(store, per_word.reshape(-1, 3).sum(1), coded.indices.to_numpy())
+        upto = np.concatenate(([0], np.cumsum(per_occurrence)))
+        return out, np.diff(upto[ends - ends[0]])
+
+
+def gathered(values: np.ndarray, sizes: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of values that ``picks`` names, on end, and their sizes; ``sizes`` are those of all runs."""
+    own = sizes[picks]
+    starts = (np.cumsum(sizes) - sizes)[picks] - (np.cumsum(own) - own)
+    return values[np.repeat(starts, own) + np.arange(own.sum())], own
 
 
 def build(ids: np.ndarray, doc_ids: list[int | None], lengths: np.ndarray) -> bytes:
     """The bytes of a shard file."""
     levels = max(1, int(ids.max()).bit_length()) if len(ids) else 1
-    now, zeros, places, ones_before, body, at = ids.astype(np.uint32), [], [], [], [], 0
+    kind = np.uint16 if levels <= 16 else np.uint32
+    now, zeros, places, ones_before, body, at = ids.astype(kind), [], [], [], [], 0
     press = zstandard.ZstdCompressor(level=1)
     for level in range(levels - 1, -1, -1):
-        bits = ((now >> np.uint32(level)) & np.uint32(1)).astype(bool)
-        packed = np.packbits(bits, bitorder="little").tobytes()
-        starts = np.arange(0, len(bits), BLOCK)
-        ones = np.add.reduceat(bits, starts, dtype=np.int64) if len(bits) else np.empty(0, np.int64)
-        ones_before.append([0, *np.cumsum(ones).tolist()])
-        place = [at]
+        bits = (now & kind(1 << level)) != 0
+        packed = np.packbits(bits, bitorder="little")
+        ones = [int(np.bitwise_count(packed[k:k + BLOCK // 8]).sum()) for k in range(0, len(packed), BLOCK // 8)]
+        ones_before.append([0, *np.cumsum(ones, dtype=np.int64).tolist()])
+        packed, place = packed.tobytes(), [at]
         for k in range(0, len(packed), BLOCK // 8):
             block = press.compress(packed[k:k + BLOCK // 8])
             body.append(block)
             at += len(block)
             place.append(at)
         places.append(place)
-        zeros.append(int(len(bits) - bits.sum()))
+        zeros.append(len(bits) - sum(ones))
         now = np.concatenate([now[~bits], now[bits]])
     known = np.array([d is not None for d in doc_ids], np.uint8)
     docs = np.array([0 if d is None else d for d in doc_ids], np.int64)
@@ -166,16 +223,17 @@ class WaveletMatrix:
 
     def all_ids(self) -> np.ndarray:
         """All ids in order: the levels are undone from the last to the first."""
-        ids = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.levels <= 16 else np.uint32
+        ids = np.zeros(self.n, kind)
         unpress = zstandard.ZstdDecompressor()
         for k in range(self.levels - 1, -1, -1):
             raw = b"".join(unpress.decompress(bytes(self.data[self.base + a:self.base + b])) for a, b in zip(self.places[k], self.places[k][1:]))
-            bits = np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little")[:self.n].astype(bool)
-            up = np.empty(self.n, np.uint32)
+            bits = np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little")[:self.n].view(bool)
+            up = np.empty(self.n, kind)
             up[~bits] = ids[:self.zeros[k]]
-            up[bits] = ids[self.zeros[k]:] | np.uint32(1 << (self.levels - 1 - k))
+            up[bits] = ids[self.zeros[k]:] | kind(1 << (self.levels - 1 - k))
             ids = up
-        return ids
+        return ids.astype(np.uint32)
 
     def documents(self) -> tuple[list[int | None], np.ndarray]:
         """Document ids and their numbers of ids, in order."""
@@ -207,9 +265,10 @@ def _writer(folder: str, tokenizer: str, end_id: int, shard_tokens: int):
             doc_ids, ids, held, shard = [], [], 0, shard + 1
             return row
 
-        for piece in slices(batches, 256):
+        for piece in slices(batches, 2048):
             part = piece.column("part")[0].as_py()
-            for doc_id, own in zip(piece.column("doc_id").to_pylist(), encode(piece.column("text").to_pylist())):
+            flat, lengths = encode(piece.column("text"))
+            for doc_id, own in zip(piece.column("doc_id").to_pylist(), np.split(flat, np.cumsum(lengths)[:-1])):
                 if held and held + len(own) + 1 > shard_tokens:
                     yield written()
                 doc_ids.append(doc_id)
