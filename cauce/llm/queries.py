@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from cauce.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
+from cauce.llm.hash_forest import op10_hash_forest
 from cauce.llm.jaccard_join import op2_ngram_jaccard
 from cauce.llm.language import op4_language_id
 from cauce.llm.mixing import OP1_SQL, op1_mixing
 from cauce.llm.shards import op9_sharding
 from cauce.llm.token_counts import op5_token_counts
 from cauce.llm.token_files import op3_token_files
+from cauce.llm.toxicity import op6_toxicity
 
 QUERIES = {
     "op1_mixing": op1_mixing,
@@ -16,8 +18,10 @@ QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
+    "op6_toxicity": op6_toxicity,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_sharding": op9_sharding,
+    "op10_hash_forest": op10_hash_forest,
 }
 
 TWINS: dict[str, str] = {
