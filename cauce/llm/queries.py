@@ -6,6 +6,7 @@ from cauce.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
 from cauce.llm.hash_forest import op10_hash_forest
 from cauce.llm.jaccard_join import op2_ngram_jaccard
 from cauce.llm.language import op4_language_id
+from cauce.llm.line_templates import OP7_SQL, op7_line_templates
 from cauce.llm.mixing import OP1_SQL, op1_mixing
 from cauce.llm.shards import op9_sharding
 from cauce.llm.token_counts import op5_token_counts
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
     "op6_toxicity": op6_toxicity,
+    "op7_line_templates": op7_line_templates,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_sharding": op9_sharding,
     "op10_hash_forest": op10_hash_forest,
@@ -26,5 +28,6 @@ QUERIES = {
 
 TWINS: dict[str, str] = {
     "op1_mixing": OP1_SQL,
+    "op7_line_templates": OP7_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
 }
