@@ -36,9 +36,9 @@ from cauce.llm.common import components, partitions_for, slices, stored, table
 
 GROUPS = 32
 LEAF = 16
-MEMO = 300_000
-FLUSH_ENTRIES = 1_500_000
-PAGE_SHINGLES = 2_000_000
+MEMO = 100_000
+FLUSH_ENTRIES = 500_000
+PAGE_SHINGLES = 1_000_000
 U = np.uint64
 NO_ID = -(1 << 63)
 
@@ -173,7 +173,7 @@ def _entries(width: int, threshold: int, parts: int):
                     keys.append(blocks.keys(s))
                     ids.append(np.full(len(keys[-1]), own, U))
                     held += len(keys[-1])
-                if held >= FLUSH_ENTRIES or len(docs) >= 20_000:
+                if held >= FLUSH_ENTRIES or len(docs) >= 10_000:
                     yield rows()
                     held = 0
         if docs:
@@ -270,14 +270,15 @@ def _family_task(threshold: int):
 
 
 def _with_pivot(threshold: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, 256):
             hit = []
-            for x, y in zip(frame.shingles, frame.pivot_shingles):
-                a, b = np.frombuffer(x, U), np.frombuffer(y, U)
+            for x, y in zip(piece.column("shingles"), piece.column("pivot_shingles")):
+                a, b = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
                 both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
                 hit.append(100 * both >= threshold * (len(a) + len(b) - both))
-            yield frame.assign(linked=hit)[["family", "id", "n", "shingles", "pivot", "linked"]]
+            names = ["family", "id", "n", "shingles", "pivot"]
+            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in names), pa.array(hit, pa.bool_())], [*names, "linked"])
     return run
 
 
@@ -316,7 +317,7 @@ def _large_links(large: DataFrame, threshold: int) -> DataFrame:
     pivots = large.join(middle, "family").groupBy("family").agg(
         F.min_by(F.struct("id", "shingles"), F.struct(F.abs(F.col("n") - F.col("mean")), "id")).alias("p"))
     tried = stored(large.join(pivots, "family").select(
-        "family", "id", "n", "shingles", F.col("p.id").alias("pivot"), F.col("p.shingles").alias("pivot_shingles")).mapInPandas(
+        "family", "id", "n", "shingles", F.col("p.id").alias("pivot"), F.col("p.shingles").alias("pivot_shingles")).mapInArrow(
         _with_pivot(threshold), "family long, id long, n long, shingles binary, pivot long, linked boolean"), "jaccard-pivots")
     ties = tried.where("linked and id != pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
     ratio = float(np.log(100 / threshold))

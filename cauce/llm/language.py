@@ -29,9 +29,9 @@ from cauce.llm.common import slices, table
 
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 4
-MEMO = 200_000
+MEMO = 50_000
 TRAIN_ROWS = 10_000
-VOCABULARY = 100_000
+VOCABULARY = 50_000
 
 
 def held_out() -> Column:
@@ -72,7 +72,7 @@ def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for lang, text in zip(frame.lang, frame.text):
             found.setdefault(lang, Counter()).update(words_of(text))
-            if sum(map(len, found.values())) > 300_000:
+            if sum(map(len, found.values())) > 150_000:
                 yield rows(found)
                 found = {}
     yield rows(found)
