@@ -270,15 +270,16 @@ def _family_task(threshold: int):
 
 
 def _with_pivot(threshold: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, 256):
-            hit = []
-            for x, y in zip(piece.column("shingles"), piece.column("pivot_shingles")):
-                a, b = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
-                hit.append(100 * both >= threshold * (len(a) + len(b) - both))
-            names = ["family", "id", "n", "shingles", "pivot"]
-            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in names), pa.array(hit, pa.bool_())], [*names, "linked"])
+    def run(members: pd.DataFrame, pivot: pd.DataFrame) -> pd.DataFrame:
+        members = members[["family", "id", "n", "shingles"]]
+        if not len(members):
+            return members.assign(pivot=0, linked=False)
+        b, hit = np.frombuffer(pivot.shingles.iloc[0], U), []
+        for x in members.shingles:
+            a = np.frombuffer(x, U)
+            both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+            hit.append(100 * both >= threshold * (len(a) + len(b) - both))
+        return members.assign(pivot=pivot.id.iloc[0], linked=hit)
     return run
 
 
@@ -314,10 +315,12 @@ def ngram_links(docs: DataFrame, width: int = 4, threshold: int = 85) -> tuple[D
 def _large_links(large: DataFrame, threshold: int) -> DataFrame:
     """Links of families beyond one page: all members against a central one, then the rest page by page."""
     middle = large.groupBy("family").agg(F.avg("n").alias("mean"))
-    pivots = large.join(middle, "family").groupBy("family").agg(
+    pivots = large.join(middle, "family").groupBy("family", "total").agg(
         F.min_by(F.struct("id", "shingles"), F.struct(F.abs(F.col("n") - F.col("mean")), "id")).alias("p"))
-    tried = stored(large.join(pivots, "family").select(
-        "family", "id", "n", "shingles", F.col("p.id").alias("pivot"), F.col("p.shingles").alias("pivot_shingles")).mapInArrow(
+    salts = F.ceil(F.col("total") / F.lit(PAGE_SHINGLES)).cast("long")
+    dealt = large.withColumn("salt", F.pmod(F.xxhash64("id"), salts))
+    sent = pivots.select("family", "p.id", "p.shingles", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"))
+    tried = stored(dealt.groupBy("family", "salt").cogroup(sent.groupBy("family", "salt")).applyInPandas(
         _with_pivot(threshold), "family long, id long, n long, shingles binary, pivot long, linked boolean"), "jaccard-pivots")
     ties = tried.where("linked and id != pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
     ratio = float(np.log(100 / threshold))
