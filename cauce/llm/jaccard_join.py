@@ -319,7 +319,7 @@ def _large_links(large: DataFrame, threshold: int) -> DataFrame:
         F.min_by(F.struct("id", "shingles"), F.struct(F.abs(F.col("n") - F.col("mean")), "id")).alias("p"))
     salts = F.ceil(F.col("total") / F.lit(PAGE_SHINGLES)).cast("long")
     dealt = large.withColumn("salt", F.pmod(F.xxhash64("id"), salts))
-    sent = pivots.select("family", "p.id", "p.shingles", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"))
+    sent = stored(pivots, "jaccard-central").select("family", "p.id", "p.shingles", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"))
     tried = stored(dealt.groupBy("family", "salt").cogroup(sent.groupBy("family", "salt")).applyInPandas(
         _with_pivot(threshold), "family long, id long, n long, shingles binary, pivot long, linked boolean"), "jaccard-pivots")
     ties = tried.where("linked and id != pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
