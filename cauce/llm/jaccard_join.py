@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cauce.llm.common import components, partitions_for, slices, stored, table
+from cauce.llm.common import components, partitions_for, slices, stored, table, text_batches
 
 GROUPS = 32
 LEAF = 16
@@ -288,7 +288,7 @@ def ngram_links(docs: DataFrame, width: int = 4, threshold: int = 85) -> tuple[D
 
     The links' closure is that of all links; inside a family, pairs already connected are not listed.
     """
-    parts = 4 * partitions_for(docs)
+    parts = 4 * partitions_for(text_batches(docs))
     entries = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th")).mapInArrow(
         _entries(width, threshold, parts), ENTRY)
     met = stored(entries.repartition(parts, "part").groupBy("part").applyInPandas(

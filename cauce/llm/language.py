@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cauce.llm.common import slices, table
+from cauce.llm.common import slices, table, text_batches
 
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 4
@@ -166,7 +166,7 @@ def identified(docs: DataFrame, columns: list[str], train_rows: int = TRAIN_ROWS
     """``columns`` of the documents (``text`` among them) with held_out, lang_pred and score."""
     state = docs.sparkSession.sparkContext.broadcast(fit(docs, train_rows))
     columns = [c for c in columns if c not in ("held_out", "lang_pred", "score")]
-    df = docs.select(*columns, held_out().alias("held_out"))
+    df = text_batches(docs).select(*columns, held_out().alias("held_out"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     return df.mapInArrow(_scored(state), f"{schema}, lang_pred string, score double")
 

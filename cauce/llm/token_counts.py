@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from cauce.llm.common import slices, table
+from cauce.llm.common import slices, table, text_batches
 
 SPACE = "▁"
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -101,7 +101,7 @@ def _counted(path: str):
 def token_counts(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_bytes and n_tokens of every whole text."""
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(_counted(model), f"doc_id {kind}, n_bytes long, n_tokens long")
+    return text_batches(docs).select("doc_id", "text").mapInArrow(_counted(model), f"doc_id {kind}, n_bytes long, n_tokens long")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

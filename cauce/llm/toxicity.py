@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cauce.llm.common import slices, table
+from cauce.llm.common import slices, table, text_batches
 from cauce.llm.language import held_out, training_sample
 
 TRAIN_ROWS = 10_000
@@ -221,7 +221,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
     """doc_id, held_out and score of every whole text."""
     state = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, train_rows))
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text", held_out().alias("held_out")).mapInArrow(_scored(state), f"doc_id {kind}, held_out boolean, score double")
+    return text_batches(docs).select("doc_id", "text", held_out().alias("held_out")).mapInArrow(_scored(state), f"doc_id {kind}, held_out boolean, score double")
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
