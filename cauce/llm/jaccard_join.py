@@ -254,8 +254,8 @@ def _sets(width: int):
         memo = WordHashes()
         for piece in slices(batches, 128):
             made = [shingle_set(t, width, memo).tobytes() for t in piece.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("family", "id", "n")), pa.array(made, pa.binary())],
-                                             ["family", "id", "n", "shingles"])
+            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("family", "id", "n", "total")), pa.array(made, pa.binary())],
+                                             ["family", "id", "n", "total", "shingles"])
     return run
 
 
@@ -300,8 +300,9 @@ def ngram_links(docs: DataFrame, width: int = 4, threshold: int = 85) -> tuple[D
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text",
                         F.xxhash64("text").alias("th"))
     sizes = members.groupBy("family").agg(F.sum("n").alias("total"))
-    sets = stored(texts.join(members, ["doc_id", "th"]).select("family", "id", "n", "text").mapInArrow(
-        _sets(width), "family long, id long, n long, shingles binary").join(sizes, "family"), "jaccard-sets")
+    members = stored(members.join(sizes, "family"), "jaccard-members")
+    sets = stored(texts.join(members, ["doc_id", "th"]).select("family", "id", "n", "total", "text").mapInArrow(
+        _sets(width), "family long, id long, n long, total long, shingles binary"), "jaccard-sets")
     small = sets.where(F.col("total") <= PAGE_SHINGLES)
     bins = max(1, int((small.agg(F.sum("n")).first()[0] or 0) // PAGE_SHINGLES), parts)
     links = small.select("family", "id", "shingles", F.pmod(F.xxhash64("family"), F.lit(bins)).alias("bin")).groupBy(
@@ -325,8 +326,8 @@ def _large_links(large: DataFrame, threshold: int) -> DataFrame:
     ties = tried.where("linked and id != pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
     ratio = float(np.log(100 / threshold))
     banded = tried.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(ratio)))
-    counts = banded.groupBy("family", "band", "linked").agg(
-        F.ceil(F.sum("n") / F.lit(PAGE_SHINGLES / 2)).alias("pages"))
+    counts = stored(banded.groupBy("family", "band", "linked").agg(
+        F.ceil(F.sum("n") / F.lit(PAGE_SHINGLES / 2)).alias("pages")), "jaccard-pages")
     paged = banded.join(counts, ["family", "band", "linked"]).withColumn("page", F.pmod(F.xxhash64("id"), F.col("pages")))
     pages = counts.withColumn("page", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pages") - 1)))
     p, q = pages.alias("p"), pages.alias("q")
@@ -335,7 +336,7 @@ def _large_links(large: DataFrame, threshold: int) -> DataFrame:
                    & (F.abs(F.col("p.band") - F.col("q.band")) <= 1) & (order("p") <= order("q"))).select(
         F.col("p.family").alias("family"), F.xxhash64("p.family", order("p"), order("q")).alias("task"),
         F.array_distinct(F.array(order("p"), order("q"))).alias("of"))
-    placed = pairs.select("family", "task", F.explode("of").alias("o")).select("family", "task", "o.*").join(
+    placed = stored(pairs.select("family", "task", F.explode("of").alias("o")).select("family", "task", "o.*"), "jaccard-tasks").join(
         paged, ["family", "linked", "band", "page"]).select("family", "task", "id", "shingles")
     return ties.unionByName(placed.groupBy("task").applyInPandas(_family_task(threshold), "a long, b long"))
 
