@@ -38,7 +38,7 @@ GROUPS = 32
 LEAF = 16
 MEMO = 100_000
 FLUSH_ENTRIES = 500_000
-PAGE_SHINGLES = 1_000_000
+PAGE_SHINGLES = 4_000_000
 U = np.uint64
 NO_ID = -(1 << 63)
 
