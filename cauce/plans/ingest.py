@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 import uuid
 from collections.abc import Callable, Mapping
@@ -19,9 +20,10 @@ from cauce.sources.lake import PARTITIONS, Lake, write_model
 RUN_LOG_SCHEMA = (
     "batch_id string, started_at string, finished_at string, success boolean, "
     "tables map<string, struct<mode: string, rows: bigint, size_bytes: bigint, duration_s: double, path: string>>, "
-    "errors array<struct<table: string, error: string, duration_s: double>>"
+    "errors array<struct<table: string, error: string, duration_s: double>>, "
+    "watermarks map<string, date>"
 )
-WATERMARK_SCHEMA = "table string, last_value date, updated_at string, batch_id string"
+STEP_FAILURE_SCHEMA = "batch_id string, created_at string, error string"
 
 # gives a source table, or its rows after a watermark if the source can apply one itself
 Reader = Callable[[SourceTable, date | None], DataFrame]
@@ -98,10 +100,6 @@ class Ingestion:
     def _log_path(self) -> str:
         return self.lake.path("bronze", "_logs")
 
-    @property
-    def _watermark_path(self) -> str:
-        return self.lake.path("bronze", "_watermarks")
-
     def _append(self, rows: list[dict[str, Any]], schema: str, path: str) -> None:
         self.lake.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
 
@@ -109,14 +107,26 @@ class Ingestion:
         return read_run_log(self.lake)
 
     def watermark(self, table: str) -> date | None:
-        """The last value written for the table; entries are only ever added, the latest counts."""
-        if not self.lake.exists(self._watermark_path):
+        """The last value committed for the table: that of its newest entry in the run log."""
+        log = self.run_log()
+        if log is None:
             return None
-        entries = self.lake.spark.read.schema(WATERMARK_SCHEMA).parquet(self._watermark_path)
-        found = latest_by(entries.where(F.col("table") == table), ["table"], "last_value", "updated_at").first()
+        entries = log.select("finished_at", F.explode("watermarks").alias("table", "last_value"))
+        found = latest_by(entries.where(F.col("table") == table), ["table"], "last_value", "finished_at").first()
         return found["last_value"] if found else None
 
-    def _ingest(self, table: SourceTable, read: Reader, batch_id: str, at: datetime) -> dict[str, Any]:
+    def _committed(self, batch_id: str) -> set[str]:
+        """Tables that an earlier attempt of the batch has logged already."""
+        log = self.run_log()
+        if log is None:
+            return set()
+        names = log.where(F.col("batch_id") == batch_id).select(F.explode(F.map_keys("tables")).alias("tabla"))
+        return {r["tabla"] for r in names.distinct().collect()}
+
+    def _ingest(
+        self, table: SourceTable, read: Reader, batch_id: str, at: datetime
+    ) -> tuple[dict[str, Any], date | None]:
+        """Write a table's batch. Gives its log entry and its new watermark, both still uncommitted."""
         started = time.time()
         last_value = self.watermark(table.name) if table.watermark else None
         rows = table.project(read(table, last_value))
@@ -134,44 +144,72 @@ class Ingestion:
             entry["path"] = f"{path}/year={at:%Y}/month={at:%m}/day={at:%d}/batch_id={batch_id}"
             entry["size_bytes"] = self.lake.size_of(entry["path"])
             if table.watermark:
-                state = {"table": table.name, "last_value": observed.get["last"] or last_value,
-                         "updated_at": datetime.now(timezone.utc).isoformat(), "batch_id": batch_id}
-                self._append([state], WATERMARK_SCHEMA, self._watermark_path)
-        return {**entry, "duration_s": round(time.time() - started, 2)}
+                last_value = observed.get["last"] or last_value
+        return {**entry, "duration_s": round(time.time() - started, 2)}, last_value
 
     def run(self, read: Reader, batch_id: str | None = None, at: datetime | None = None) -> str:
-        """Ingest all tables. One that fails does not stop the others, but fails the run."""
+        """Ingest all tables. One that fails does not stop the others, but fails the run.
+
+        The row of the run log is the only commit: paths, counts and watermarks become visible with it,
+        together. A run that dies before it leaves folders that nobody reads, and the next run starts
+        from the old watermarks. Repeating a batch ingests only the tables that it has not committed yet.
+        """
         at = at or datetime.now(timezone.utc)
         batch_id = batch_id or f"batch-{uuid.uuid4().hex[:12]}"
         done: dict[str, dict[str, Any]] = {}
+        marks: dict[str, date] = {}
         errors: list[dict[str, Any]] = []
+        committed = self._committed(batch_id)
+        if committed >= set(self.tables):
+            return batch_id
         for name, table in self.tables.items():
+            if name in committed:
+                continue
             started = time.time()
             try:
-                done[name] = self._ingest(table, read, batch_id, at)
+                done[name], mark = self._ingest(table, read, batch_id, at)
+                if mark is not None:
+                    marks[name] = mark
             except Exception as error:  # noqa: BLE001 - recorded below, raised at the end
                 errors.append({"table": name, "error": str(error), "duration_s": round(time.time() - started, 2)})
-        self._volume_events(batch_id, at, done)
         entry = {"batch_id": batch_id, "started_at": at.isoformat(),
                  "finished_at": datetime.now(timezone.utc).isoformat(), "success": not errors,
-                 "tables": done, "errors": errors}
+                 "tables": done, "errors": errors, "watermarks": marks}
         self._append([entry], RUN_LOG_SCHEMA, self._log_path)
+        try:
+            self._volume_events(batch_id, at)
+        except Exception as error:  # noqa: BLE001 - the batch is committed; the check must not undo that
+            logging.getLogger(__name__).exception("volume check of %s failed", batch_id)
+            failure = {"batch_id": batch_id, "created_at": at.isoformat(), "error": str(error)}
+            self._append([failure], STEP_FAILURE_SCHEMA, self.lake.path("bronze", "_step_failures"))
         if errors:
             raise IngestionFailed(f"{len(errors)} table(s) failed: {[e['table'] for e in errors]}")
         return batch_id
 
-    def _volume_events(self, batch_id: str, at: datetime, done: Mapping[str, Mapping[str, Any]]) -> None:
-        history = self.run_log()
-        if history is None or not done:
-            return
-        current = self.lake.spark.createDataFrame(
-            [(batch_id, at.isoformat(), t, d["rows"]) for t, d in done.items()], monitor.VOLUME_SCHEMA
+    def _volume_events(self, batch_id: str, at: datetime) -> None:
+        """Judge the run just logged against the seven runs logged before it."""
+        log = self.run_log()
+        runs = monitor.newest_runs(log, monitor.HISTORY_RUNS + 1, until=at.isoformat())
+        volumes = flat_run_log(log).select("batch_id", "started_at", "tabla", "rows")
+        events = monitor.volume_anomalies(volumes, runs).where(
+            (F.col("batch_id") == batch_id) & (F.col("started_at") == at.isoformat())
         )
-        volumes = flat_run_log(history).select(*current.columns).unionByName(current)
-        events = monitor.volume_anomalies(volumes).where(F.col("batch_id") == batch_id)
         monitor.append_events(self.lake, monitor.volume_events(events, at.isoformat()))
 
 
+def committed_rows(lake: Lake, table: SourceTable, logged: DataFrame) -> DataFrame:
+    """The rows below the paths that the flat log rows name; only those folders are read.
+
+    A batch is found by its whole path: the folder that a dead run has left under the same batch id
+    on another day does not count.
+    """
+    paths = logged.where((F.col("tabla") == table.name) & F.col("path").isNotNull())
+    folders = paths.select(
+        *(F.regexp_extract("path", f"/{p}=([^/]+)", 1).alias(p) for p in PARTITIONS)
+    ).distinct()
+    return lake.bronze(table).join(folders, list(PARTITIONS), "left_semi").select(*table.bronze_schema.names)
+
+
 def batch_rows(lake: Lake, table: SourceTable, run_log: DataFrame) -> DataFrame | None:
     """What a raw table holds: the newest batch of a full table, all batches of an incremental one.
 
@@ -180,15 +218,13 @@ def batch_rows(lake: Lake, table: SourceTable, run_log: DataFrame) -> DataFrame
     """
     logged = flat_run_log(run_log).where((F.col("tabla") == table.name) & F.col("path").isNotNull())
     if table.mode == "full":
-        newest = latest_by(logged, ["tabla"], "batch_id", "started_at").first()
+        newest = latest_by(logged, ["tabla"], "path", "started_at").first()
         if newest is None:
             return None
-        rows = lake.bronze(table).where(F.col("batch_id") == newest["batch_id"])
-    else:
-        if logged.isEmpty():
-            return None
-        rows = lake.bronze(table).join(logged.select("batch_id"), "batch_id", "left_semi")
-    return rows.select(*table.bronze_schema.names)
+        logged = logged.where(F.col("path") == newest["path"])
+    elif logged.isEmpty():
+        return None
+    return committed_rows(lake, table, logged)
 
 
 def raw_rows(lake: Lake, table: SourceTable) -> DataFrame:
@@ -201,6 +237,8 @@ def raw_rows(lake: Lake, table: SourceTable) -> DataFrame:
         return copied.select(*table.bronze_schema.names)
     log = read_run_log(lake)
     rows = batch_rows(lake, table, log) if log is not None else None
+    if rows is None and log is not None and not flat_run_log(log).where(F.col("tabla") == table.name).isEmpty():
+        return lake.spark.createDataFrame([], table.bronze_schema)  # ingested, but empty so far
     if rows is None:
         raise LookupError(f"{table.name} was never ingested")
     return rows

@@ -22,39 +22,52 @@ VOLUME_SCHEMA = "batch_id string, started_at string, tabla string, rows bigint"
 EVENT_SCHEMA = "event_type string, created_at string, details map<string, string>"
 
 
-def _numbered_runs(volumes: DataFrame) -> DataFrame:
+def newest_runs(log: DataFrame, runs: int, until: str | None = None) -> DataFrame:
+    """The newest runs of a log, up to a start time. Runs that loaded nothing are runs as well."""
+    known = log.select("batch_id", "started_at").distinct()
+    if until is not None:
+        known = known.where(F.col("started_at") <= until)
+    return known.orderBy(F.desc("started_at"), "batch_id").limit(runs)
+
+
+def _numbered_runs(log: DataFrame) -> DataFrame:
     """Runs numbered by start. One row per run, so the single window over them stays small."""
-    runs = volumes.select("batch_id", "started_at").distinct()
+    runs = log.select("batch_id", "started_at").distinct()
     number = F.row_number().over(Window.orderBy("started_at", "batch_id"))
     return runs.withColumn("_run", number)
 
 
-def latest_volumes(volumes: DataFrame, runs: int = HISTORY_RUNS) -> DataFrame:
-    """The volumes of the newest runs; a table that a run did not load has no row for it."""
-    newest = volumes.select("batch_id", "started_at").distinct().orderBy(F.desc("started_at"), "batch_id").limit(runs)
-    return volumes.join(newest.select("batch_id"), "batch_id", "left_semi")
+def latest_volumes(volumes: DataFrame, runs: int = HISTORY_RUNS, log: DataFrame | None = None) -> DataFrame:
+    """The volumes of the newest runs; a table that a run did not load has no row for it.
+
+    ``log`` has a row for every run, also for those that loaded no table; without it, only runs with
+    a volume are known.
+    """
+    newest = newest_runs(volumes if log is None else log, runs)
+    return volumes.join(newest.select("batch_id", "started_at"), ["batch_id", "started_at"], "left_semi")
 
 
-def volume_history(volumes: DataFrame) -> DataFrame:
+def volume_history(volumes: DataFrame, log: DataFrame | None = None) -> DataFrame:
     """Per run and table: how many of the seven runs before it loaded the table, and how much.
 
-    Runs are the frame, not rows: a table absent from some of those runs has fewer values.
+    Runs are the frame, not rows: a table absent from some of those runs has fewer values. ``log`` as
+    in ``latest_volumes``.
     """
     before = Window.partitionBy("tabla").orderBy("_run").rangeBetween(-HISTORY_RUNS, -1)
-    return volumes.join(_numbered_runs(volumes), ["batch_id", "started_at"]).select(
+    return volumes.join(_numbered_runs(volumes if log is None else log), ["batch_id", "started_at"]).select(
         "batch_id", "started_at", "tabla", "rows",
         F.count("rows").over(before).alias("_values"),
         F.sum("rows").over(before).alias("_total"),
     )
 
 
-def volume_anomalies(volumes: DataFrame) -> DataFrame:
+def volume_anomalies(volumes: DataFrame, log: DataFrame | None = None) -> DataFrame:
     """Loads whose volume is more than 30 % off the mean of the runs before.
 
     Needs three values and a mean above zero. Empty loads are not judged, but count in later means.
     """
     change = F.abs(F.col("rows") * F.col("_values") - F.col("_total"))
-    judged = volume_history(volumes).where(
+    judged = volume_history(volumes, log).where(
         (F.col("rows") > 0) & (F.col("_values") >= MIN_VALUES) & (F.col("_total") > 0)
     )
     return judged.where(change * 100 > F.col("_total") * MAX_CHANGE_PERCENT).select(

@@ -10,6 +10,7 @@ from cauce.functions.numbers import repaired_int
 from cauce.schemas import SourceTable
 
 FORMATS = ("csv", "json", "json_array", "parquet")
+CSV_QUOTES = {"quote": '"', "escape": '"'}  # a quote inside a field is doubled
 
 
 def _check(file_format: str) -> None:
@@ -24,9 +25,14 @@ def _lenient(schema: T.StructType) -> T.StructType:
     )
 
 
-def read_table(spark: SparkSession, path: str, table: SourceTable, file_format: str | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, table: SourceTable, file_format: str | None = None, quoted_breaks: bool = False
+) -> DataFrame:
     """A source table from files, with the declared types; nothing is inferred.
 
+    ``quoted_breaks`` lets CSV fields hold line breaks, at the price that a file is not split over tasks;
+    without it such a file fails the read instead of giving torn rows.
+
     ``json`` has one record per line and splits over tasks; ``json_array`` is one array per file and
     does not.
     """
@@ -36,7 +42,7 @@ def read_table(spark: SparkSession, path: str, table: SourceTable, file_format:
         return table.project(spark.read.schema(table.schema).parquet(path))
     reader = spark.read.schema(_lenient(table.schema)).option("mode", "FAILFAST")
     if file_format == "csv":
-        df = reader.csv(path, header=True, encoding="UTF-8")
+        df = reader.csv(path, header=True, encoding="UTF-8", **CSV_QUOTES, multiLine=quoted_breaks)
     else:
         df = reader.json(path, multiLine=file_format == "json_array")
     integers = {f.name: repaired_int(F.col(f.name)) for f in table.schema if f.dataType == T.IntegerType()}
@@ -49,7 +55,7 @@ def write_table(df: DataFrame, path: str, table: SourceTable, file_format: str |
     _check(file_format)
     writer = table.project(df).write.mode("overwrite").option("partitionOverwriteMode", "static")
     if file_format == "csv":
-        writer.csv(path, header=True, encoding="UTF-8")
+        writer.csv(path, header=True, encoding="UTF-8", **CSV_QUOTES)
     elif file_format == "parquet":
         writer.parquet(path)
     else:

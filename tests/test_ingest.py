@@ -65,6 +65,58 @@ def test_failed_table_does_not_stop_others(spark, lake):
     assert ingest.load_raw(job, SOURCES[CLIENTES])["rows"] == 1
 
 
+@pytest.mark.parametrize("dies_in", ["write", "volume", "log"])
+def test_no_row_is_lost_after_a_failed_run(spark, lake, monkeypatch, dies_in):
+    """Whatever step fails, raw equals the source after the next run, also if that repeats the batch id."""
+    table = SOURCES[MOVIMIENTOS]
+    job = ingest.Ingestion(lake, "core", {MOVIMIENTOS: table})
+    days = [date(2025, 1, 1 + n) for n in range(5)]
+    job.run(lambda t, last: movements(spark, days[0]), "b0", AT[0])
+
+    def broken(*args, **kwargs):
+        raise OSError("store is down")
+
+    target = {"write": (ingest.Lake, "size_of"), "volume": (ingest.monitor, "append_events"),
+              "log": (ingest.Ingestion, "_append")}[dies_in]
+    with monkeypatch.context() as patch:
+        patch.setattr(*target, broken)
+        try:
+            job.run(lambda t, last: movements(spark, *days[:3]), "b1", AT[1])
+        except (OSError, ingest.IngestionFailed):
+            assert dies_in != "volume"
+    if dies_in == "volume":
+        assert lake.read("bronze", "_step_failures").first()["error"] == "store is down"
+    for batch in ("b1", "b2"):
+        job.run(lambda t, last: movements(spark, *days), batch, datetime(2025, 1, 11, tzinfo=timezone.utc))
+    rows = ingest.raw_rows(lake, table)
+    assert sorted(r["fec_mov"] for r in rows.collect()) == days
+    assert job.watermark(MOVIMIENTOS) == days[-1]
+
+
+def test_source_that_is_empty_from_the_start(spark, lake):
+    table = SOURCES[MOVIMIENTOS]
+    with pytest.raises(LookupError):
+        ingest.raw_rows(lake, table)
+    ingest.Ingestion(lake, "core", {MOVIMIENTOS: table}).run(lambda t, last: movements(spark), "b0", AT[0])
+    rows = ingest.raw_rows(lake, table)
+    assert rows.isEmpty() and rows.columns == table.bronze_schema.names
+
+
+def test_feed_that_overlaps_a_run(spark, lake):
+    """A batch whose files the feed could see before the run was logged still comes in."""
+    table = SOURCES[MOVIMIENTOS]
+    job = ingest.Ingestion(lake, "core", {MOVIMIENTOS: table})
+    job.run(lambda t, last: movements(spark, date(2025, 1, 1)), "b0", AT[0])
+    append_new_batches(lake, table)
+    late = movements(spark, date(2025, 1, 2))
+    ingest.write_batch(ingest.with_audit(late, "b1", "core", AT[1]), lake.bronze_path(table), AT[1])
+    append_new_batches(lake, table)
+    assert ingest.raw_rows(lake, table).count() == 1
+    job.run(lambda t, last: late, "b1", AT[1])
+    append_new_batches(lake, table)
+    assert ingest.raw_rows(lake, table).count() == 2
+
+
 def test_full_table_takes_newest_batch(spark, lake):
     table = SOURCES[CLIENTES]
     job = ingest.Ingestion(lake, "core", {CLIENTES: table})
@@ -122,6 +174,11 @@ def test_text_files_of_other_writers(spark, tmp_path):
         "PRD001,a,RECARGA,0.0,44.0,1.5,,ACTIVO\nPRD002,b,RECARGA,0.0,,1.5,2.0,ACTIVO\n", encoding="utf-8")
     rows = files.read_table(spark, str(tmp_path / "p.csv"), SOURCES[PRODUCTOS]).orderBy("cod_prod").collect()
     assert [(r["plazo_max_meses"], r["comision_admin"]) for r in rows] == [(44, None), (None, D("2.00"))]
+    (tmp_path / "q.csv").write_text(
+        "cod_prod,desc_prod,tip_prod,tasa_ea,plazo_max_meses,cuota_min,comision_admin,estado_prod\n"
+        'PRD001,"say ""hi"", ok",RECARGA,0.0,,1.5,,ACTIVO\nPRD002,"two\nlines",RECARGA,0.0,,1.5,,ACTIVO\n')
+    rows = files.read_table(spark, str(tmp_path / "q.csv"), SOURCES[PRODUCTOS], quoted_breaks=True).collect()
+    assert sorted(r["desc_prod"] for r in rows) == ['say "hi", ok', "two\nlines"]
     (tmp_path / "c.json").write_text(
         '[\n {"id_cli": "a", "num_doc": "007", "score_buro": 700.0, "fec_nac": "1990-01-02"},\n {"id_cli": "b"}\n]')
     rows = files.read_table(spark, str(tmp_path / "c.json"), SOURCES[CLIENTES], "json_array").orderBy("id_cli").collect()

@@ -50,6 +50,16 @@ def test_frame_is_seven_runs_not_seven_rows(spark):
     assert anomalies(spark, *runs) == []
 
 
+def test_runs_that_loaded_nothing_are_runs(spark):
+    """After seven runs without any table there is nothing to compare with."""
+    log = spark.createDataFrame([(f"b{n}", f"2025-01-{n + 1:02d}T00:00:00+00:00") for n in range(11)],
+                                "batch_id string, started_at string")
+    known = volumes(spark, *[10] * 3, *[None] * 7, 1000).where("tabla = 't'")
+    assert not monitor.volume_anomalies(known).isEmpty()
+    assert monitor.volume_anomalies(known, log).isEmpty()
+    assert [r["rows"] for r in monitor.latest_volumes(known, 7, log).collect()] == [1000]
+
+
 def test_latest_volumes(spark):
     got = monitor.latest_volumes(volumes(spark, *range(9))).where("tabla = 't'").collect()
     assert sorted(r["rows"] for r in got) == [2, 3, 4, 5, 6, 7, 8]
