@@ -37,16 +37,17 @@ def trailing_mean() -> Column:
 def trailing_deviation() -> Column:
     """Sample deviation in currency units from the totals above; NULL below two rows.
 
-    ``n * squares - sum * sum`` is exact as long as it has at most 38 digits; beyond that the same
-    formula in floating point takes over.
+    Squares count from the whole part ``m`` of the mean, not from zero: with ``sum = n * m + rest``
+    they add up to ``squares - n * m * m - 2 * m * rest``. All of it is whole numbers, so nothing
+    cancels, however large and close the amounts are. One formula for all sizes; a frame whose
+    squares, or whose spread times ``n * n``, exceed 38 digits in cents fails the job.
     """
     n, s, q = F.col("trailing_n"), F.col("trailing_sum"), F.col("trailing_squares")
-    whole = [c.cast("decimal(38,0)") for c in (n, s, q)]
-    exact = F.try_subtract(F.try_multiply(whole[0], whole[2]), F.try_multiply(whole[1], whole[1]))
-    floating = F.greatest(
-        n.cast("double") * q.cast("double") - s.cast("double") * s.cast("double"), F.lit(0.0)
-    )
-    spread = F.coalesce(exact.cast("double"), floating)
+    whole = n.cast("decimal(20,0)")
+    m = F.expr("trailing_sum div nullif(trailing_n, 0)").cast("decimal(19,0)")
+    rest = (s - whole * m).cast("decimal(20,0)")
+    around = q - (whole * m) * m - F.lit(2).cast("decimal(1,0)") * m * rest
+    spread = (whole * around - rest * rest).cast("double")
     pairs = F.when(n > 1, n.cast("double") * (n - 1).cast("double"))
     return F.sqrt(spread / pairs) / 100
 

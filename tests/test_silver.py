@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import statistics
 from datetime import date
 from decimal import Decimal as D
 
@@ -95,8 +96,17 @@ def test_trailing_statistics(spark, ctx, dims):
     assert stats["d"] == (90.0, None, False)
 
 
-def test_statistics_beyond_exact_range(spark, ctx, dims):
-    """Amounts so large that the exact formula overflows are computed in floating point."""
+def test_deviation_of_large_and_close_amounts(spark, ctx, dims):
+    """Squares of these amounts have 32 digits and differ in the last few only."""
+    base = D("90000000000000.00")
+    rows = [{"id_mov": str(i), "fec_mov": date(2025, 3, 1), "vr_mov": base + i % 7} for i in range(1500)]
+    late = {"id_mov": "z", "fec_mov": date(2025, 3, 2), "vr_mov": base + 20}
+    got = silver.stg_movimientos(raw(spark, MOVIMIENTOS, *rows, late), *dims, ctx).where("id_mov = 'z'").first()
+    assert math.isclose(got["stddev_movil_30d"], statistics.stdev(i % 7 for i in range(1500)), rel_tol=1e-12)
+    assert got["ind_sospechoso"] is True
+
+
+def test_deviation_of_large_and_wide_amounts(spark, ctx, dims):
     huge = D("99999999999999.99")
     rows = [{"id_mov": str(i), "fec_mov": date(2025, 3, 1), "vr_mov": huge - i * 10**10} for i in range(200)]
     late = {"id_mov": "z", "fec_mov": date(2025, 3, 2)}
