@@ -27,12 +27,13 @@ SETTINGS = {
 
 
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024**2
-FEWEST_PARTITIONS, MOST_PARTITIONS = 200, 100_000
+FEWEST_PARTITIONS = 200
+UNKNOWN_INPUT_BYTES = 1024**4  # assumed on a cluster when nobody says how large the input is
 
 
 def shuffle_partitions(input_bytes: int) -> int:
     """Partitions for a shuffle of that size. Too many get merged at run time, too few stay too large."""
-    return min(max(input_bytes // BYTES_PER_SHUFFLE_PARTITION, FEWEST_PARTITIONS), MOST_PARTITIONS)
+    return max(input_bytes // BYTES_PER_SHUFFLE_PARTITION, FEWEST_PARTITIONS)
 
 
 def build_session(
@@ -43,6 +44,8 @@ def build_session(
     ``input_bytes`` is the size of the largest table, from which the number of shuffle partitions follows.
     """
     builder = SparkSession.builder.appName(app)
+    if input_bytes is None and not (master or "").startswith("local"):
+        input_bytes = UNKNOWN_INPUT_BYTES
     if input_bytes is not None:
         extra = {"spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes)), **extra}
     if master:

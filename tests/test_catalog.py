@@ -22,4 +22,4 @@ def test_catalog_covers_every_computed_column(spark):
 def test_shuffle_partitions():
     assert shuffle_partitions(0) == 200
     assert shuffle_partitions(10 * 1024**4) == 81920
-    assert shuffle_partitions(100 * 1024**4) == 100_000
+    assert shuffle_partitions(100 * 1024**4) == 819_200
