@@ -22,6 +22,7 @@ BALANCE_REASON = "sdo_capital > vr_aprobado (inconsistencia de negocio)"
 FOUNDED = date(2015, 1, 1)
 FUTURE_DAYS, PAST_DAYS = (30, 399), (30, 3649)
 FIRST_ORPHAN = 900_000
+ORPHAN_PREFIX = "CLIX"  # clients are CLI and digits: no client has such a key, however many there are
 INFLATION_PERCENT = (130, 179)
 LOG_SCHEMA = ("tabla", "id_registro", "tipo_anomalia", "motivo")
 
@@ -53,7 +54,7 @@ def _changed(sample: Sample, column: str, value: Column) -> DataFrame:
 
 
 def repeat_rows(df: DataFrame, share: float, table: str, key: str, seed: str) -> Damaged:
-    sample = exact_sample(df, share, key, seed)
+    sample = exact_sample(df, share, seed)
     table_out = df.unionByName(sample.picked.select(*df.columns))
     return Damaged(table_out, _log(sample.picked, table, key, DUPLICATE, F.lit(DUPLICATE_REASON)))
 
@@ -62,7 +63,7 @@ def shift_dates(
     df: DataFrame, share: float, column: str, table: str, key: str, last: date, seed: str
 ) -> Damaged:
     """The first half of the sample moves past the loading window, the rest before the founding."""
-    sample = exact_sample(df, share, key, seed)
+    sample = exact_sample(df, share, seed)
     future = F.col("_rank") <= sample.size // 2
     moved = F.when(future, F.date_add(F.lit(last), _between(*FUTURE_DAYS, 9))).otherwise(
         F.date_sub(F.lit(FOUNDED), _between(*PAST_DAYS, 17))
@@ -73,15 +74,15 @@ def shift_dates(
 
 def orphan_keys(df: DataFrame, share: float, column: str, table: str, key: str, seed: str) -> Damaged:
     """The key becomes one of a series of client numbers that no client has."""
-    sample = exact_sample(df, share, key, seed)
+    sample = exact_sample(df, share, seed)
     number = (F.col("_rank") - 1 + FIRST_ORPHAN).cast("string")
-    unknown = F.concat(F.lit("CLI"), number)
+    unknown = F.concat(F.lit(ORPHAN_PREFIX), number)
     reason = F.concat(F.lit(f"{column}="), unknown, F.lit(" no existe en TB_CLIENTES_CORE"))
     return Damaged(_changed(sample, column, unknown), _log(sample.picked, table, key, ORPHAN, reason))
 
 
 def flip_signs(df: DataFrame, share: float, column: str, table: str, key: str, seed: str) -> Damaged:
-    sample = exact_sample(df, share, key, seed)
+    sample = exact_sample(df, share, seed)
     log = _log(sample.picked, table, key, INCONSISTENT, F.lit(SIGN_REASON))
     return Damaged(_changed(sample, column, -F.abs(column)), log)
 
@@ -89,17 +90,17 @@ def flip_signs(df: DataFrame, share: float, column: str, table: str, key: str, s
 def inflate_balances(
     df: DataFrame, share: float, column: str, approved: str, table: str, key: str, seed: str
 ) -> Damaged:
-    sample = exact_sample(df, share, key, seed)
+    sample = exact_sample(df, share, seed)
     percent = _between(*INFLATION_PERCENT, 9).cast("decimal(3,0)")
     inflated = F.round(F.col(approved) * percent / 100, 2)
     log = _log(sample.picked, table, key, INCONSISTENT, F.lit(BALANCE_REASON))
     return Damaged(_changed(sample, column, inflated), log)
 
 
-def blank_values(df: DataFrame, share: float, columns: list[str], key: str, seed: str) -> DataFrame:
+def blank_values(df: DataFrame, share: float, columns: list[str], seed: str) -> DataFrame:
     """Each value of the columns goes missing with the given probability, independently."""
     limit = int(share * 2**32)
-    hit = {c: digest_number(row_digest(key, f"{seed}|{c}"), 1) < limit for c in columns}
+    hit = {c: digest_number(row_digest(df.columns, f"{seed}|{c}"), 1) < limit for c in columns}
     return df.withColumns({c: F.when(~hit[c], F.col(c)) for c in columns})
 
 

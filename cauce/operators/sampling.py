@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,9 +12,13 @@ BUCKETS = 65536
 COPIES_PER_TASK_ROW = 100_000
 
 
-def row_digest(key: str, seed: str) -> Column:
-    """A hex digest that orders rows at random but always alike."""
-    return F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f"|{seed}")))
+def row_digest(columns: Sequence[str], seed: str) -> Column:
+    """A hex digest that orders rows at random but always alike.
+
+    Over all columns of a row, so that rows which share a key, or have none, spread over all digests.
+    """
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    return F.md5(F.concat_ws("|", *values, F.lit(seed)))
 
 
 def digest_number(digest: Column, start: int) -> Column:
@@ -35,8 +40,8 @@ class Sample:
         return self.near.where(F.col("_rank").isNotNull())
 
 
-def exact_sample(df: DataFrame, share: float, key: str, seed: str) -> Sample:
-    """The ``int(rows * share)`` rows with the lowest digest of key and seed, ranked.
+def exact_sample(df: DataFrame, share: float, seed: str) -> Sample:
+    """The ``int(rows * share)`` rows with the lowest digest of row and seed, ranked.
 
     A first pass counts rows per digest bucket; these 65536 counts at most are all that reaches the
     driver. They tell which buckets can hold sampled rows. Only those rows, about the sampled share,
@@ -46,7 +51,7 @@ def exact_sample(df: DataFrame, share: float, key: str, seed: str) -> Sample:
     size is one row in the window; afterwards it is dealt out again in blocks.
     """
     columns = df.columns
-    digest = row_digest(key, seed)
+    digest = row_digest(columns, seed)
     bucket = F.conv(F.substring(digest, 1, 4), 16, 10).cast("int")
     counts = {r["_bucket"]: r["count"] for r in df.groupBy(bucket.alias("_bucket")).count().collect()}
     size = int(sum(counts.values()) * share)

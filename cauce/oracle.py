@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 
+from cauce.functions import rules
 from cauce.schemas import CLIENTES, COMISIONES, MOVIMIENTOS, OBLIGACIONES, PRODUCTOS, SOURCES, SUCURSALES
 from cauce.sources.driver_tables import AS_OF, EXPRESSIONS, audit_expressions
 
@@ -26,6 +27,7 @@ SHORT = {CLIENTES: "cli", PRODUCTOS: "prod", SUCURSALES: "suc", MOVIMIENTOS: "mo
          COMISIONES: "com"}
 TODAY = f"DATE '{AS_OF}'"
 FLOOR = "DATE '2015-01-01'"
+PERMILLE = [int(share * 1000) for *_, share in (*rules.ARREARS, rules.WORST_ARREARS)]
 
 
 def half_up(numerator: str, denominator: str, digits: int = 2) -> str:
@@ -160,9 +162,9 @@ def build_ctes(salt: str, run_ts: str) -> dict[str, str]:
                ifnull(MAP {{'BAS': 'Básico', 'STD': 'Estándar', 'PRM': 'Premium', 'ELT': 'Elite'}}[cod_segmento],
                       'Sin clasificar') AS segmento_desc
         FROM t_cli"""
-    ctes["d_prod"] = """
+    ctes["d_prod"] = f"""
         SELECT cod_prod, desc_prod AS nombre_producto, tip_prod AS tipo_producto,
-               CASE WHEN tip_prod IN ('TARJETA_DIGITAL', 'CRED_ROTATIVO', 'CRED_LIBRE_INVERSION') THEN 'CREDITO'
+               CASE WHEN tip_prod IN {rules.CREDIT_TYPES} THEN 'CREDITO'
                     ELSE if(tip_prod = 'CUENTA_AHORRO_DIGITAL', 'AHORRO', 'TRANSACCIONAL') END AS familia_producto,
                tasa_ea AS tasa_efectiva_anual,
                round((pow(1 + tasa_ea::DOUBLE / 100, 1.0::DOUBLE / 12) - 1) * 100, 4)::DECIMAL(10,4)
@@ -181,14 +183,14 @@ def build_ctes(salt: str, run_ts: str) -> dict[str, str]:
                ['Al día', 'Rango 1', 'Rango 2', 'Rango 3', 'Deteriorado'][grade] AS bucket_mora,
                substr('ABCDE', grade, 1) AS calif_regulatoria, permille::DOUBLE / 1000 AS provision_pct,
                {half_up(cents('sdo_capital') + ' * permille', '100000')} AS provision_estimada
-        FROM (SELECT *, [10, 32, 100, 200, 1000][grade] AS permille
+        FROM (SELECT *, {PERMILLE}[grade] AS permille
               FROM (SELECT *, CASE WHEN dias_mora_act BETWEEN 0 AND 90
                                    THEN 1 + (dias_mora_act + 29) // 30 ELSE 5 END AS grade FROM t_obl)) o"""
-    ctes["interest"] = """
+    ctes["interest"] = f"""
         SELECT id_cli, strftime(fec_mov, '%Y-%m') AS periodo,
                sum(vr_mov * (tasa_mensual_equivalente / 100)::DECIMAL(9,6)) AS ingreso_intereses
         FROM good_mov JOIN d_prod USING (cod_prod)
-        WHERE familia_producto = 'CREDITO' AND tip_mov IN ('COMPRA_TARJETA', 'AVANCE_EFECTIVO') GROUP BY ALL"""
+        WHERE familia_producto = 'CREDITO' AND tip_mov IN {rules.INTEREST_MOVEMENTS} GROUP BY ALL"""
     ctes["fees"] = """
         SELECT id_cli, strftime(fec_cobro, '%Y-%m') AS periodo, sum(vr_comision) AS ingreso_comisiones
         FROM t_com WHERE estado_cobro = 'EXITOSO' GROUP BY ALL"""

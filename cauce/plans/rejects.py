@@ -20,6 +20,7 @@ ORPHAN, BAD_DATE, INCONSISTENT = "FK_HUERFANA", "FECHA_FUERA_DE_RANGO", "CAMPO_I
 Check = tuple[str, Column, Column]
 
 
+# The message texts in the checks below.
 def _message(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 

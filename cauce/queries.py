@@ -293,12 +293,25 @@ def raw_rows(t: Tables, name: str) -> DataFrame:
     return ingest.batch_rows(ingestion.lake, SOURCES[name], ingestion.run_log())
 
 
-def next_watermarks(t: Tables, limit: str) -> DataFrame:
+def after_a_dead_run(t: Tables, name: str) -> DataFrame:
+    """A run, a run that dies before its commit, and its repetition with the same batch id a day later."""
+    table = SOURCES[name]
+    ingestion = ingest.Ingestion(t.lake("recovery"), SOURCE_SYSTEM, {name: table})
+    rows = t.source(name)
+    (first, _, limit), (second, _, _) = BATCHES[:2]
+    ingestion.run(lambda *_: rows.where(F.col(table.watermark) < F.lit(limit).cast("date")), first, INGESTED_AT[0])
+    uncommitted = ingest.newer_rows(rows, table.watermark, ingestion.watermark(name))
+    ingest.write_batch(ingest.with_audit(uncommitted, second, SOURCE_SYSTEM, INGESTED_AT[1]),
+                       ingestion.lake.bronze_path(table), INGESTED_AT[1])
+    ingestion.run(lambda *_: rows, second, INGESTED_AT[1] + timedelta(days=1))
+    return ingest.raw_rows(ingestion.lake, table).select(*table.columns)
+
+
+def next_watermarks(t: Tables) -> DataFrame:
     parts = []
     for name in (MOVIMIENTOS, COMISIONES):
         column = SOURCES[name].watermark
-        seen = t.source(name).where(F.col(column) < F.lit(limit).cast("date"))
-        batch = ingest.newer_rows(seen, column, "2024-12-31")
+        batch = ingest.newer_rows(t.source(name), column, "2024-12-31")
         parts.append(ingest.next_watermark(batch, column, "2024-12-31").select(F.lit(name).alias("tabla"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -319,10 +332,11 @@ _BATCH_TIMES = " ".join(f"WHEN '{b[0]}' THEN TIMESTAMP '{b[1][:19]}'" for b in B
 register("bronze_full_extract", lambda t: ingest.newer_rows(t.source(CLIENTES), "fec_alta", None), "FROM src_cli")
 register("bronze_incremental_extract", lambda t: ingest.newer_rows(t.source(MOVIMIENTOS), "fec_mov", "2025-03-01"),
          "FROM src_mov WHERE fec_mov > DATE '2025-03-01'", "vr_mov")
-register("bronze_next_watermark", lambda t: next_watermarks(t, "2025-03-01"),
+register("bronze_next_watermark", next_watermarks,
          " UNION ALL ".join(f"SELECT '{n}' AS tabla, max({c}) AS last_value FROM src_{s} "
-                            f"WHERE {c} BETWEEN DATE '2025-01-01' AND DATE '2025-02-28'"
+                            f"WHERE {c} > DATE '2024-12-31'"
                             for n, c, s in ((MOVIMIENTOS, "fec_mov", "mov"), (COMISIONES, "fec_cobro", "com"))))
+register("bronze_recovery", lambda t: after_a_dead_run(t, COMISIONES), "FROM src_com", "vr_comision")
 register("bronze_audit_columns",
          lambda t: ingest.with_audit(t.source(OBLIGACIONES), BATCHES[-1][0], SOURCE_SYSTEM, INGESTED_AT[-1]),
          "FROM raw_obl", "vr_aprobado vr_desembolsado sdo_capital vr_cuota")
@@ -357,12 +371,12 @@ register(
 
 
 def snapshot_history(t: Tables) -> DataFrame:
-    """Yesterday's snapshot, then today's from some loans, then today's again from others."""
+    """Yesterday's snapshot, then today's from two ratings, then today's again from another two."""
     lake, path = t.lake("snapshots"), "gold/kpi_cartera_diaria"
     runs = (
         (CONTEXT.as_of - timedelta(days=1), F.lit(True)),
-        (CONTEXT.as_of, F.col("calif_riesgo_fuente") == "NORMAL"),
-        (CONTEXT.as_of, F.col("calif_riesgo_fuente") == "VIGILANCIA"),
+        (CONTEXT.as_of, F.col("calif_riesgo_fuente") != "VIGILANCIA"),
+        (CONTEXT.as_of, F.col("calif_riesgo_fuente") != "NORMAL"),
     )
     for number, (day, condition) in enumerate(runs):
         new = gold.kpi_cartera_diaria(t.cartera.where(condition), t.dim_clientes, replace(CONTEXT, as_of=day))
@@ -371,14 +385,14 @@ def snapshot_history(t: Tables) -> DataFrame:
     return t.spark.read.schema(new.schema).parquet(f"{lake.root}/{path}")
 
 
-_RISK_KPI = _CTES["kpi"].replace("FROM t_obl", "FROM (FROM t_obl WHERE calif_riesgo = '{}') t_obl")
+_RISK_KPI = _CTES["kpi"].replace("FROM t_obl", "FROM (FROM t_obl WHERE calif_riesgo <> '{}') t_obl")
 register(
     "kpi_snapshot_upsert", snapshot_history,
     f"""SELECT * REPLACE (fecha_corte - 1 AS fecha_corte) FROM kpi
-        UNION ALL FROM ({_RISK_KPI.format('VIGILANCIA')})
-        UNION ALL SELECT o.* FROM ({_RISK_KPI.format('NORMAL')}) o
+        UNION ALL FROM ({_RISK_KPI.format('NORMAL')})
+        UNION ALL SELECT o.* FROM ({_RISK_KPI.format('VIGILANCIA')}) o
         WHERE NOT EXISTS (FROM t_obl l JOIN t_cli c USING (id_cli)
-                          WHERE l.calif_riesgo = 'VIGILANCIA' AND l.cod_prod = o.cod_prod
+                          WHERE l.calif_riesgo <> 'NORMAL' AND l.cod_prod = o.cod_prod
                             AND c.cod_segmento IS NOT DISTINCT FROM o.cod_segmento AND c.ciudad_res = o.ciudad)""",
     "monto_total_cartera monto_en_mora",
 )
@@ -493,11 +507,19 @@ register("dq_test_results", pipeline_tests, " UNION ALL ".join(map(twin_of_test,
 SHARE = 0.01
 
 
-def _ranked(short: str, key: str, seed: str) -> str:
+def _columns(short: str) -> list[str]:
+    return SOURCES[{s: n for n, s in oracle.SHORT.items()}[short]].columns
+
+
+def _digest(short: str, seed: str) -> str:
+    return f"md5(concat_ws('|', {', '.join(f"ifnull({c}::VARCHAR, '')" for c in _columns(short))}, '{seed}'))"
+
+
+def _ranked(short: str, seed: str) -> str:
     """Source rows with digest, rank and size of the sample, for the twins."""
-    columns = ", ".join(f"{c} NULLS FIRST" for c in SOURCES[{s: n for n, s in oracle.SHORT.items()}[short]].columns)
+    columns = ", ".join(f"{c} NULLS FIRST" for c in _columns(short))
     return (f"(SELECT *, row_number() OVER (ORDER BY h, {columns}) AS rank FROM (SELECT *, "
-            f"md5({key} || '|{seed}') AS h, floor(count(*) OVER () * {SHARE}::DOUBLE) AS size FROM src_{short}))")
+            f"{_digest(short, seed)} AS h, floor(count(*) OVER () * {SHARE}::DOUBLE) AS size FROM src_{short}))")
 
 
 def _number(start: int, low: int, high: int) -> str:
@@ -506,7 +528,7 @@ def _number(start: int, low: int, high: int) -> str:
 
 register("inject_duplicados",
          lambda t: faults.repeat_rows(t.source(MOVIMIENTOS), SHARE, MOVIMIENTOS, "id_mov", "dup").table,
-         f"FROM src_mov UNION ALL SELECT * EXCLUDE (h, rank, size) FROM {_ranked('mov', 'id_mov', 'dup')} "
+         f"FROM src_mov UNION ALL SELECT * EXCLUDE (h, rank, size) FROM {_ranked('mov', 'dup')} "
          "WHERE rank <= size", "vr_mov")
 register("inject_fechas",
          lambda t: faults.shift_dates(t.source(MOVIMIENTOS), SHARE, "fec_mov", MOVIMIENTOS, "id_mov",
@@ -514,28 +536,28 @@ register("inject_fechas",
          f"""SELECT * EXCLUDE (h, rank, size) REPLACE (CASE WHEN rank > size THEN fec_mov
                  WHEN rank <= size // 2 THEN DATE '2025-07-31' + {_number(9, *faults.FUTURE_DAYS)}
                  ELSE DATE '2015-01-01' - {_number(17, *faults.PAST_DAYS)} END AS fec_mov)
-             FROM {_ranked('mov', 'id_mov', 'fec')}""", "vr_mov")
+             FROM {_ranked('mov', 'fec')}""", "vr_mov")
 register("inject_fk",
          lambda t: faults.orphan_keys(t.source(COMISIONES), SHARE, "id_cli", COMISIONES, "id_comision", "fk").table,
          "SELECT * EXCLUDE (h, rank, size) REPLACE (CASE WHEN rank > size THEN id_cli "
-         f"ELSE 'CLI' || (899999 + rank)::VARCHAR END AS id_cli) FROM {_ranked('com', 'id_comision', 'fk')}",
+         f"ELSE '{faults.ORPHAN_PREFIX}' || ({faults.FIRST_ORPHAN - 1} + rank)::VARCHAR END AS id_cli) FROM {_ranked('com', 'fk')}",
          "vr_comision")
 register("inject_signo",
          lambda t: faults.flip_signs(t.source(MOVIMIENTOS), SHARE, "vr_mov", MOVIMIENTOS, "id_mov", "sig").table,
          "SELECT * EXCLUDE (h, rank, size) REPLACE (if(rank > size, vr_mov, -abs(vr_mov)) AS vr_mov) "
-         f"FROM {_ranked('mov', 'id_mov', 'sig')}", "vr_mov")
+         f"FROM {_ranked('mov', 'sig')}", "vr_mov")
 register("inject_saldo",
          lambda t: faults.inflate_balances(t.source(OBLIGACIONES), SHARE, "sdo_capital", "vr_aprobado", OBLIGACIONES,
                                            "id_oblig", "sal").table,
          f"""SELECT * EXCLUDE (h, rank, size) REPLACE (if(rank > size, sdo_capital::DOUBLE,
                  {oracle.half_up(oracle.cents('vr_aprobado') + ' * ' + _number(9, *faults.INFLATION_PERCENT), '10000')})
-                 AS sdo_capital) FROM {_ranked('obl', 'id_oblig', 'sal')}""",
+                 AS sdo_capital) FROM {_ranked('obl', 'sal')}""",
          "vr_aprobado vr_desembolsado vr_cuota")
 _BLANKED = ("num_cuotas_pend", "calif_riesgo")
 register("inject_nulos",
-         lambda t: faults.blank_values(t.source(OBLIGACIONES), 0.05, list(_BLANKED), "id_oblig", "nul"),
+         lambda t: faults.blank_values(t.source(OBLIGACIONES), 0.05, list(_BLANKED), "nul"),
          "SELECT * REPLACE (" + ", ".join(
-             f"CASE WHEN ('0x' || substr(md5(id_oblig || '|nul|{c}'), 1, 8))::BIGINT >= {int(0.05 * 2**32)} "
+             f"CASE WHEN ('0x' || substr({_digest('obl', f'nul|{c}')}, 1, 8))::BIGINT >= {int(0.05 * 2**32)} "
              f"THEN {c} END AS {c}" for c in _BLANKED) + ") FROM src_obl",
          "vr_aprobado vr_desembolsado sdo_capital vr_cuota")
 register(

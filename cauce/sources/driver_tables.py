@@ -25,7 +25,9 @@ BATCHES = (
 
 
 def _padded(prefix: str, number: str, width: int) -> str:
-    return f"concat('{prefix}', lpad(cast({number} as string), {width}, '0'))"
+    """At least ``width`` digits; a longer number keeps all of its digits."""
+    digits = f"cast({number} as string)"
+    return f"concat('{prefix}', lpad({digits}, cast(greatest({width}, length({digits})) as int), '0'))"
 
 
 def _choice(selector: str, *values: str) -> str:
@@ -89,11 +91,11 @@ BRANCH_EXPRESSIONS = [
 MOVEMENT_EXPRESSIONS = [
     ("id_mov", _padded("MOV", "l_orderkey * 10 + l_linenumber", 9)),
     ("id_cli",
-     f"case when l_orderkey % 167 = 3 then {_padded('CLI9', 'l_orderkey % 100000', 5)} "
+     f"case when l_orderkey % 167 = 3 then {_padded('CLIX', 'l_orderkey', 5)} "
      f"else {_padded('CLI', 'o_custkey', 6)} end"),
     ("cod_prod", _padded("PRD", "l_partkey", 6)),
     ("num_cuenta",
-     "concat('8', lpad(cast(o_custkey as string), 6, '0'), lpad(cast(l_partkey as string), 6, '0'))"),
+     f"concat('8', {_padded('', 'o_custkey', 6)}, {_padded('', 'l_partkey', 6)})"),
     ("fec_mov",
      f"case when l_orderkey % 251 = 7 then {_day('2031-01-01', 'l_partkey % 300')} "
      f"when l_orderkey % 251 = 8 then {_day('2008-01-01', 'l_partkey % 300')} "
@@ -138,7 +140,7 @@ LOAN_EXPRESSIONS = [
 FEE_EXPRESSIONS = [
     ("id_comision", _padded("COM", "o_orderkey", 8)),
     ("id_cli",
-     f"case when o_orderkey % 167 = 9 then {_padded('CLI9', 'o_orderkey % 100000', 5)} "
+     f"case when o_orderkey % 167 = 9 then {_padded('CLIX', 'o_orderkey', 5)} "
      f"else {_padded('CLI', 'o_custkey', 6)} end"),
     ("cod_prod", _padded("PRD", "(o_orderkey * 11) % 200", 6)),
     ("fec_cobro", _day("2024-01-01", "(o_orderkey * 11) % 540")),

@@ -23,7 +23,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("share", [0.0, 0.001, 0.3, 1.0])
 def test_sample_is_exact_and_complete(spark, share):
     df = spark.range(5000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), (F.col("id") % 7).alias("v"))
-    sample = exact_sample(df, share, "k", "s")
+    sample = exact_sample(df, share, "s")
     ranks = sorted(r["_rank"] for r in sample.picked.collect())
     assert ranks == list(range(1, int(5000 * share) + 1))
     whole = sample.near.select("k", "v").unionByName(sample.far)
@@ -37,16 +37,23 @@ def test_sample_with_a_hot_group_of_copies(spark, monkeypatch, share):
     df = spark.range(3000).select(
         F.when(F.col("id") < 1000, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
         F.when(F.col("id") >= 1000, F.col("id")).alias("v"))
-    sample = exact_sample(df, share, "k", "s")
+    sample = exact_sample(df, share, "s")
     ranks = sorted(r["_rank"] for r in sample.picked.collect())
     assert ranks == list(range(1, int(3000 * share) + 1))
     whole = Counter(tuple(r) for r in sample.near.select("k", "v").unionByName(sample.far).collect())
     assert whole == Counter(tuple(r) for r in df.collect())
 
 
+def test_rows_of_one_key_spread_over_all_buckets(spark):
+    """Different rows with the same key, or without one, do not meet in one window."""
+    df = spark.range(20000).select(F.when(F.col("id") % 2 == 0, F.lit("hot")).alias("k"), F.col("id").alias("v"))
+    bucket = F.substring(sampling.row_digest(df.columns, "s"), 1, 4)
+    assert df.groupBy(bucket.alias("b")).count().agg(F.max("count")).first()[0] < 20
+
+
 def test_sample_does_not_depend_on_partitions(spark):
     df = spark.range(2000).select(F.col("id").cast("string").alias("k"))
-    picks = [{r["k"] for r in exact_sample(d, 0.05, "k", "s").picked.collect()} for d in (df, df.repartition(13))]
+    picks = [{r["k"] for r in exact_sample(d, 0.05, "s").picked.collect()} for d in (df, df.repartition(13))]
     assert picks[0] == picks[1] and len(picks[0]) == 100
 
 
