@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PARTITION_BYTES = 16 << 20
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,10 +28,20 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared folder and read back: lineage ends at files that survive lost executors."""
-    path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows written to the shared folder and read back: lineage ends at files that survive lost executors.
+
+    The write's shuffle files go as soon as it has ended, since nothing reads them again; otherwise they
+    stay on the executors' disks until the driver happens to collect its garbage.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, label)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def partitions_for(df: DataFrame, part_bytes: int = PARTITION_BYTES) -> int:
