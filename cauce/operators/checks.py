@@ -106,8 +106,10 @@ def _unique(df: DataFrame, test: Unique) -> DataFrame:
 
 
 def _related(child: DataFrame, parent: DataFrame, test: Related) -> DataFrame:
-    lost = without_parent(child.select(test.column), parent, test.column, test.parent_column)
-    return lost.agg(F.lit(test.name).alias("prueba"), F.count(F.lit(1)).alias("fallas"))
+    """Rows without a parent, counted by key first: one row per key is shuffled and looked up, whatever it stands for."""
+    keys = child.groupBy(test.column).agg(F.count(F.lit(1)).alias("_rows"))
+    lost = without_parent(keys, parent, test.column, test.parent_column)
+    return lost.agg(F.lit(test.name).alias("prueba"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("fallas"))
 
 
 def run_tests(tables: Mapping[str, DataFrame], tests: Sequence[Test]) -> DataFrame:
