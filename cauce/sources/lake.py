@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,6 +14,7 @@ from pyspark.sql import types as T
 from cauce.schemas import SourceTable
 
 PARTITIONS = ("year", "month", "day", "batch_id")
+SCHEMA_FILE = "_schema.json"
 
 
 @dataclass(frozen=True)
@@ -49,7 +52,17 @@ class Lake:
         return self.spark.read.schema(schema).parquet(self.bronze_path(table))
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, name))
+        """A stored table; with the schema that it was written with, so that an empty one can be read too."""
+        path = self.path(layer, name)
+        files, schema_file = self._folder(f"{path}/{SCHEMA_FILE}")
+        if not files.exists(schema_file):
+            return self.spark.read.parquet(path)
+        stream = files.open(schema_file)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(text))).parquet(path)
 
 
 @dataclass(frozen=True)
@@ -61,7 +74,7 @@ class Layout:
 
 
 def write_model(df: DataFrame, path: str, layout: Layout | None = None) -> None:
-    """Replace a table.
+    """Replace a table: written beside the old one, which stays until the new one is complete.
 
     With a layout, rows are rebalanced by the partition column: adaptive execution merges small
     partitions into one task and splits one that is too large, so a date with a third of all rows
@@ -70,8 +83,22 @@ def write_model(df: DataFrame, path: str, layout: Layout | None = None) -> None:
     writer_input = df
     if layout:
         writer_input = df.hint("rebalance", layout.partition).sortWithinPartitions(layout.partition, *layout.cluster)
-    writer = writer_input.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(layout.partition) if layout else writer).parquet(path)
+    mark = uuid.uuid4().hex[:12]
+    new, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
+    writer = writer_input.write
+    (writer.partitionBy(layout.partition) if layout else writer).parquet(new)
+    hadoop = df.sparkSession._jvm.org.apache.hadoop.fs
+    target, fresh, replaced = hadoop.Path(path), hadoop.Path(new), hadoop.Path(old)
+    files = target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    schema_file = files.create(hadoop.Path(f"{new}/{SCHEMA_FILE}"))
+    schema_file.write(bytearray(df.schema.json().encode()))
+    schema_file.close()
+    if files.exists(target) and not files.rename(target, replaced):
+        raise OSError(f"cannot replace {path}")
+    if not files.rename(fresh, target):
+        files.rename(replaced, target)
+        raise OSError(f"cannot put {new} in place of {path}")
+    files.delete(replaced, True)
 
 
 def merge_snapshot(lake: Lake, new: DataFrame, path: str, day: str, keys: Sequence[str], staging: str) -> None:

@@ -224,6 +224,22 @@ def test_layout_splits_a_hot_date(spark, lake):
     assert stored.count() == 4000 and hot_files > 1
 
 
+def test_failed_rebuild_keeps_the_table(spark, lake):
+    path = lake.path("gold", "t")
+    write_model(spark.range(5).withColumn("day", F.lit(1)), path, Layout("day"))
+    with pytest.raises(Exception, match="lost"):
+        write_model(spark.range(3).select("id", F.raise_error(F.lit("lost")).cast("int").alias("day")), path, Layout("day"))
+    assert lake.read("gold", "t").count() == 5
+    write_model(spark.range(2).withColumn("day", F.lit(1)), path, Layout("day"))
+    assert lake.read("gold", "t").count() == 2
+
+
+def test_empty_partitioned_table_can_be_read(spark, lake):
+    write_model(spark.createDataFrame([], "v int, day date"), lake.path("gold", "e"), Layout("day", ("v",)))
+    back = lake.read("gold", "e")
+    assert back.isEmpty() and back.dtypes == [("v", "int"), ("day", "date")]
+
+
 def test_unknown_stage(lake, ctx):
     with pytest.raises(ValueError, match="stage must be"):
         layers.Warehouse(lake, ctx).run_layer("bronze")
