@@ -341,11 +341,16 @@ def _large_links(large: DataFrame, threshold: int) -> DataFrame:
     return ties.unionByName(placed.groupBy("task").applyInPandas(_family_task(threshold), "a long, b long"))
 
 
-def ngram_classes(docs: DataFrame, width: int = 4, threshold: int = 85) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id of its class)."""
+def _classed(docs: DataFrame, width: int, threshold: int) -> DataFrame:
+    """One row per document: doc_id (NO_ID for null), th (hash of the text), id and n of its set, cls (class of sets)."""
     known, links = ngram_links(docs, width, threshold)
     classes = components(links, "jaccard-classes")
-    named = known.join(classes, "id", "left").withColumn("cls", F.coalesce("component", "id"))
+    return known.join(classes, "id", "left").withColumn("cls", F.coalesce("component", "id")).drop("component")
+
+
+def ngram_classes(docs: DataFrame, width: int = 4, threshold: int = 85) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id of its class)."""
+    named = _classed(docs, width, threshold)
     linked = named.where("n > 0")
     real = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     least = linked.groupBy("cls").agg(F.min(real).alias("component_id"))
@@ -355,9 +360,17 @@ def ngram_classes(docs: DataFrame, width: int = 4, threshold: int = 85) -> DataF
 
 
 def first_of_each(docs: DataFrame, width: int = 4, threshold: int = 85) -> DataFrame:
-    """The documents without those that link, directly or not, with one of a smaller doc_id; repeated rows go too."""
-    kept = ngram_classes(docs, width, threshold).where("component_id = doc_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One document of each class: that of the smallest doc_id, null ids last, then of the smallest text hash.
+
+    A row is known by doc_id and text: rows that repeat both go, different texts under one doc_id (or under none)
+    are different documents. Documents without shingles link with nothing and stay.
+    """
+    named = stored(_classed(docs, width, threshold), "jaccard-named")
+    one = named.where("n > 0").groupBy("cls").agg(
+        F.min(F.struct((F.col("doc_id") == NO_ID).alias("unnamed"), "doc_id", "th")).alias("one")).select("one.doc_id", "one.th")
+    kept = one.unionByName(named.where("n = 0").select("doc_id", "th").distinct()).toDF("_id", "_th")
+    rows = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_th": F.xxhash64("text")})
+    return rows.join(kept, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"]).drop("_id", "_th")
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

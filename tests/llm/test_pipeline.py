@@ -20,3 +20,22 @@ def test_stages(spark):
     ids = sorted(sets)
     assert not any(5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) > 0 for i, a in enumerate(ids) for b in ids[i + 1:])
     assert sorted(r.slot for r in docs.where("shard = 0").collect()) == list(range(docs.where("shard = 0").count()))
+
+
+def test_near_duplicates_keep_null_and_repeated_ids(spark):
+    words = [[f"{c}{i}" for i in range(60)] for c in "abcdefg"]
+    a, b, c, d, e, f, g = (" ".join(w) for w in words)
+    rows = [(1, a), (1, b), (1, b),                            # two texts under one id, one row repeated
+            (2, a + " more"), (2, c),                          # a near copy of a smaller id, and a clean text
+            (None, d), (None, d), (None, e),                   # texts without an id
+            (None, f), (3, f + " more"),                       # an id goes before none
+            (None, g), (None, g + " more"),                    # a class without ids
+            (4, None), (None, None), (None, " "), (None, "")]  # nothing to link
+    docs = spark.createDataFrame([(*r, "en", "s") for r in rows], "doc_id long, text string, lang string, source string")
+    out = corpus_pipeline.near_duplicates(spark, docs, TABLES)
+    assert out.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert sum(x in got for x in [(None, g), (None, g + " more")]) == 1
+    got = [x for x in got if not (x[1] or "").startswith(g)]
+    assert len(got) == 10 and set(got) == {(1, a), (1, b), (2, c), (None, d), (None, e), (3, f + " more"),
+                                           (4, None), (None, None), (None, " "), (None, "")}
