@@ -29,6 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,7 +137,8 @@ ENTRY = "part int, kind int, a binary, b binary, c binary, d binary"
 def _entries(width: int, threshold: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, blocks, seen = WordHashes(), Blocks(threshold), set()
-        keys, ids, docs, held, turn = [], [], [], 0, 0
+        keys, ids, docs, held = [], [], [], 0
+        turn = TaskContext.get().partitionId()  # tasks of one batch each deal their rows over all parts, too
 
         def rows():
             nonlocal turn

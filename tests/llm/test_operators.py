@@ -93,6 +93,12 @@ def test_blocks_miss_no_linked_pair():
                 assert set(blocks.keys(a).tolist()) & set(blocks.keys(b).tolist())
 
 
+def test_documents_of_small_tasks_spread_over_parts(spark):
+    docs = spark.range(0, 64, 1, 32).selectExpr("id AS doc_id", "concat('same words in each ', id % 2) AS text", "xxhash64(id) AS th")
+    rows = docs.mapInArrow(jaccard_join._entries(4, 85, 16), jaccard_join.ENTRY).where("kind < 2").groupBy("kind", "part").count().collect()
+    assert {(r.kind, r.part): r["count"] for r in rows if r.kind == 0} == {(0, p): 2 for p in range(16)}
+
+
 @pytest.mark.parametrize("name", sorted(TWINS))
 def test_twin(spark, name):
     con = duckdb.connect()
