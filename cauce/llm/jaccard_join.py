@@ -11,10 +11,14 @@ A document's set is its distinct word shingles, held as 64-bit hashes. Two sets
 2. Families. The ties are closed to components; every link lies inside one family.
 3. Search. Within a family the sets become points of ``GROUPS`` counts, packed into a tree of bounding boxes.
    ``sum(min(count, box maximum))`` bounds the overlap of a set with everything in a box; what survives is
-   compared exactly. Pairs that links already connect are not compared again. A family larger than
-   ``PAGE_SHINGLES`` is first compared with one central member; the members that link to it need no comparison
-   among themselves, and the others meet every page whose bounds allow a link.
-4. Classes. The links are closed to components, named by their smallest document id.
+   compared exactly. A family larger than ``PAGE_SHINGLES`` is cut into pages of like sizes; each page is compared
+   within itself and with every page whose sizes allow a link. So every linked pair of sets is listed, once.
+4. Classes. The links that tie unconnected sets are closed to components, named by their smallest document id. A
+   document's number of links counts the other documents whose sets link with its own, each copy as one.
+
+Where only the classes are asked for (``every=False``), pairs that links already connect are not compared again, and
+a family beyond ``PAGE_SHINGLES`` is first compared with one central member: the members that link to it need no
+comparison among themselves.
 
 Defined results: null, empty and wordless texts have no shingles and link with nothing; fewer words than
 ``width`` make one shingle of the whole sequence; equal texts are one class; a null doc_id takes part, and a class
@@ -226,29 +230,40 @@ class CountTree:
         return at
 
 
-def family_links(sets: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:
-    """Links (positions) whose closure equals that of all links among the sets."""
+def family_links(sets: list[np.ndarray], threshold: int, side: np.ndarray, every: bool) -> Iterator[tuple]:
+    """Links among the sets: (position, positions that link with it, which of these links tie what was not connected).
+
+    Sets of an equal ``side`` that is not negative are not compared. All links once, or if not ``every`` as many as
+    have the same closure.
+    """
     m = len(sets)
     sizes = np.array([len(s) for s in sets])
     counts = np.stack([np.bincount((mix(s) & U(GROUPS - 1)).astype(np.int64), minlength=GROUPS) for s in sets])
+    values, ranks = np.unique(np.concatenate(sets), return_inverse=True)
+    ranks = np.split(ranks.astype(np.int32), np.cumsum(sizes)[:-1])
     order = np.lexsort((*counts.T[:2], sizes))
     tree = CountTree(counts[order], sizes[order], threshold)
-    root = np.arange(m)
-    links = []
+    root, own = np.arange(m), np.zeros(len(values), np.uint8)
     for k in range(m):
         q = order[k]
         near = order[tree.search(counts[q], sizes[q], k)]
-        near = near[root[near] != root[q]]
-        if len(near):
-            every = np.concatenate([sets[c] for c in near])
-            at = np.minimum(np.searchsorted(sets[q], every), sizes[q] - 1)
-            starts = np.concatenate(([0], np.cumsum(sizes[near])[:-1]))
-            both = np.add.reduceat((sets[q][at] == every).astype(np.int64), starts)
-            for c in near[100 * both >= threshold * (sizes[q] + sizes[near] - both)]:
-                links.append((int(q), int(c)))
-                if root[c] != root[q]:
-                    root[root == root[c]] = root[q]
-    return links
+        near = near[(side[near] != side[q]) | (side[near] < 0)]
+        if not every:
+            near = near[root[near] != root[q]]
+        if not len(near):
+            continue
+        own[ranks[q]] = 1
+        starts = np.concatenate(([0], np.cumsum(sizes[near])[:-1]))
+        both = np.add.reduceat(own[np.concatenate([ranks[c] for c in near])], starts, dtype=np.int64)
+        own[ranks[q]] = 0
+        found = near[100 * both >= threshold * (sizes[q] + sizes[near] - both)]
+        tie = np.zeros(len(found), bool)
+        for i in np.flatnonzero(root[found] != root[q]):
+            if root[found[i]] != root[q]:
+                root[root == root[found[i]]] = root[q]
+                tie[i] = True
+        if len(found):
+            yield q, found, tie
 
 
 def _sets(width: int):
@@ -256,39 +271,49 @@ def _sets(width: int):
         memo = WordHashes()
         for piece in slices(batches, 128):
             made = [shingle_set(t, width, memo).tobytes() for t in piece.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("family", "id", "n", "total")), pa.array(made, pa.binary())],
-                                             ["family", "id", "n", "total", "shingles"])
+            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("family", "id", "n", "copies", "total")), pa.array(made, pa.binary())],
+                                             ["family", "id", "n", "copies", "total", "shingles"])
     return run
 
 
-def _family_task(threshold: int):
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, own in frame.drop_duplicates(["family", "id"]).groupby("family"):
-            ids = own.id.to_numpy()
-            out += [(ids[a], ids[b]) for a, b in family_links([np.frombuffer(x, U) for x in own.shingles], threshold)]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+LINK = "a long, b long, a_copies long, b_copies long, tie boolean"
+
+
+def _family_task(threshold: int, every: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        frame, out, held = pd.concat(list(batches)).drop_duplicates(["family", "id"]), [], 0
+        for _, own in frame.groupby("family"):
+            ids, copies = own.id.to_numpy(), own.copies.to_numpy()
+            for q, found, tie in family_links([np.frombuffer(x, U) for x in own.shingles], threshold, own.side.to_numpy(), every):
+                out.append(pd.DataFrame({"a": ids[q], "b": ids[found], "a_copies": copies[q], "b_copies": copies[found], "tie": tie}))
+                held += len(found)
+                if held >= FLUSH_ENTRIES:
+                    yield pd.concat(out)
+                    out, held = [], 0
+        if out:
+            yield pd.concat(out)
     return run
 
 
 def _with_pivot(threshold: int):
     def run(members: pd.DataFrame, pivot: pd.DataFrame) -> pd.DataFrame:
-        members = members[["family", "id", "n", "shingles"]]
+        members = members[["family", "id", "n", "copies", "shingles"]]
         if not len(members):
-            return members.assign(pivot=0, linked=False)
+            return members.assign(pivot=0, pivot_copies=0, linked=False)
         b, hit = np.frombuffer(pivot.shingles.iloc[0], U), []
         for x in members.shingles:
             a = np.frombuffer(x, U)
             both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
             hit.append(100 * both >= threshold * (len(a) + len(b) - both))
-        return members.assign(pivot=pivot.id.iloc[0], linked=hit)
+        return members.assign(pivot=pivot.id.iloc[0], pivot_copies=pivot.copies.iloc[0], linked=hit)
     return run
 
 
-def ngram_links(docs: DataFrame, width: int = 4, threshold: int = 85) -> tuple[DataFrame, DataFrame]:
-    """(documents: doc_id, id, n), (links a, b between ids of different sets). ``id`` names a distinct set.
+def ngram_links(docs: DataFrame, width: int = 4, threshold: int = 85, every: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(documents: doc_id, th, id, n), (links a, b between ids of different sets). ``id`` names a distinct set.
 
-    The links' closure is that of all links; inside a family, pairs already connected are not listed.
+    Each linked pair is listed once, with the number of documents that have either set; the links with ``tie`` have the
+    closure of all. Without ``every``, pairs already connected are left out.
     """
     parts = 4 * partitions_for(text_batches(docs))
     entries = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th")).mapInArrow(
@@ -297,36 +322,42 @@ def ngram_links(docs: DataFrame, width: int = 4, threshold: int = 85) -> tuple[D
         _gathered, "kind int, x long, y long, id long, n long"), "jaccard-blocks")
     known = met.where("kind = 0").select(F.col("x").alias("doc_id"), F.col("y").alias("th"), "id", "n")
     family = stored(components(met.where("kind = 1").select(F.col("x").alias("a"), F.col("y").alias("b"))), "jaccard-families")
-    one = known.where("n > 0").groupBy("id").agg(F.min(F.struct("doc_id", "th")).alias("one"), F.first("n").alias("n"))
-    members = one.join(family, "id").select(F.col("component").alias("family"), "id", "n", "one.*")
+    one = known.where("n > 0").groupBy("id").agg(F.min(F.struct("doc_id", "th")).alias("one"), F.first("n").alias("n"), F.count("*").alias("copies"))
+    members = one.join(family, "id").select(F.col("component").alias("family"), "id", "n", "copies", "one.*")
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text",
                         F.xxhash64("text").alias("th"))
     sizes = members.groupBy("family").agg(F.sum("n").alias("total"))
     members = stored(members.join(sizes, "family"), "jaccard-members")
-    sets = stored(texts.join(members, ["doc_id", "th"]).select("family", "id", "n", "total", "text").mapInArrow(
-        _sets(width), "family long, id long, n long, total long, shingles binary"), "jaccard-sets")
+    sets = stored(texts.join(members, ["doc_id", "th"]).select("family", "id", "n", "copies", "total", "text").mapInArrow(
+        _sets(width), "family long, id long, n long, copies long, total long, shingles binary"), "jaccard-sets")
     small = sets.where(F.col("total") <= PAGE_SHINGLES)
     bins = max(1, int((small.agg(F.sum("n")).first()[0] or 0) // PAGE_SHINGLES), parts)
-    links = small.select("family", "id", "shingles", F.pmod(F.xxhash64("family"), F.lit(bins)).alias("bin")).groupBy(
-        "bin").applyInPandas(_family_task(threshold), "a long, b long")
+    links = small.select("family", "id", "copies", "shingles", F.lit(-1).alias("side"),
+                         F.pmod(F.xxhash64("family"), F.lit(bins)).alias("bin")).groupBy(
+        "bin").applyInPandas(_family_task(threshold, every), LINK)
     large = sets.where(F.col("total") > PAGE_SHINGLES)
     if not large.isEmpty():
-        links = links.unionByName(_large_links(large, threshold))
-    return known, links
+        links = links.unionByName(_large_links(large, threshold, every))
+    return known, stored(links, "jaccard-links")
 
 
-def _large_links(large: DataFrame, threshold: int) -> DataFrame:
-    """Links of families beyond one page: all members against a central one, then the rest page by page."""
+def _central_links(large: DataFrame, threshold: int) -> DataFrame:
+    """The members of each family with its central one, and whether they link with it."""
     middle = large.groupBy("family").agg(F.avg("n").alias("mean"))
     pivots = large.join(middle, "family").groupBy("family", "total").agg(
-        F.min_by(F.struct("id", "shingles"), F.struct(F.abs(F.col("n") - F.col("mean")), "id")).alias("p"))
+        F.min_by(F.struct("id", "copies", "shingles"), F.struct(F.abs(F.col("n") - F.col("mean")), "id")).alias("p"))
     salts = F.ceil(F.col("total") / F.lit(PAGE_SHINGLES)).cast("long")
     dealt = large.withColumn("salt", F.pmod(F.xxhash64("id"), salts))
-    sent = stored(pivots, "jaccard-central").select("family", "p.id", "p.shingles", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"))
-    tried = stored(dealt.groupBy("family", "salt").cogroup(sent.groupBy("family", "salt")).applyInPandas(
-        _with_pivot(threshold), "family long, id long, n long, shingles binary, pivot long, linked boolean"), "jaccard-pivots")
-    ties = tried.where("linked and id != pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
-    ratio = float(np.log(100 / threshold))
+    sent = stored(pivots, "jaccard-central").select("family", "p.*", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"))
+    return stored(dealt.groupBy("family", "salt").cogroup(sent.groupBy("family", "salt")).applyInPandas(
+        _with_pivot(threshold), "family long, id long, n long, copies long, shingles binary, pivot long, pivot_copies long, linked boolean"),
+        "jaccard-pivots")
+
+
+def _large_links(large: DataFrame, threshold: int, every: bool) -> DataFrame:
+    """Links of families beyond one page: page by page, if not ``every`` after all members against a central one."""
+    tried = large.withColumn("linked", F.lit(False)) if every else _central_links(large, threshold)
+    ratio = float(np.log(100 / threshold)) * (1 + 1e-9)  # sizes just in reach of each other are never two bands apart
     banded = tried.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(ratio)))
     counts = stored(banded.groupBy("family", "band", "linked").agg(
         F.ceil(F.sum("n") / F.lit(PAGE_SHINGLES / 2)).alias("pages")), "jaccard-pages")
@@ -334,31 +365,42 @@ def _large_links(large: DataFrame, threshold: int) -> DataFrame:
     pages = counts.withColumn("page", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pages") - 1)))
     p, q = pages.alias("p"), pages.alias("q")
     order = lambda x: F.struct(f"{x}.linked", f"{x}.band", f"{x}.page")
+    sided = lambda x, side: F.struct(f"{x}.linked", f"{x}.band", f"{x}.page", F.lit(side).alias("side"))
     pairs = p.join(q, (F.col("p.family") == F.col("q.family")) & ~(F.col("p.linked") & F.col("q.linked"))
                    & (F.abs(F.col("p.band") - F.col("q.band")) <= 1) & (order("p") <= order("q"))).select(
         F.col("p.family").alias("family"), F.xxhash64("p.family", order("p"), order("q")).alias("task"),
-        F.array_distinct(F.array(order("p"), order("q"))).alias("of"))
+        F.when(order("p") == order("q"), F.array(sided("p", -1))).otherwise(F.array(sided("p", 0), sided("q", 1))).alias("of"))
     placed = stored(pairs.select("family", "task", F.explode("of").alias("o")).select("family", "task", "o.*"), "jaccard-tasks").join(
-        paged, ["family", "linked", "band", "page"]).select("family", "task", "id", "shingles")
-    return ties.unionByName(placed.groupBy("task").applyInPandas(_family_task(threshold), "a long, b long"))
-
-
-def _classed(docs: DataFrame, width: int, threshold: int) -> DataFrame:
-    """One row per document: doc_id (NO_ID for null), th (hash of the text), id and n of its set, cls (class of sets)."""
-    known, links = ngram_links(docs, width, threshold)
-    classes = components(links, "jaccard-classes")
+        paged, ["family", "linked", "band", "page"]).select("family", "task", "id", "copies", "side", "shingles")
+    links = placed.groupBy("task").applyInPandas(_family_task(threshold, every), LINK)
+    if every:
+        return links
+    return links.unionByName(tried.where("linked and id != pivot").select(
+        F.col("pivot").alias("a"), F.col("id").alias("b"), F.col("pivot_copies").alias("a_copies"),
+        F.col("copies").alias("b_copies"), F.lit(True).alias("tie")))
+
+
+def _classed(known: DataFrame, links: DataFrame) -> DataFrame:
+    """Adds cls, the class of a document's set, to doc_id (NO_ID for null), th (hash of the text), id and n."""
+    classes = components(links.where("tie"), "jaccard-classes")
     return known.join(classes, "id", "left").withColumn("cls", F.coalesce("component", "id")).drop("component")
 
 
 def ngram_classes(docs: DataFrame, width: int = 4, threshold: int = 85) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id of its class)."""
-    named = _classed(docs, width, threshold)
+    """One row per document: doc_id, n_shingles, n_links (other documents that link with it), component_id (smallest
+    doc_id of its class)."""
+    known, links = ngram_links(docs, width, threshold)
+    named = _classed(known, links)
     linked = named.where("n > 0")
+    others = links.groupBy(F.col("a").alias("id")).agg(F.sum("b_copies").alias("others")).unionByName(
+        links.groupBy(F.col("b").alias("id")).agg(F.sum("a_copies").alias("others")))
+    numbers = linked.groupBy("id").agg((F.count("*") - 1).alias("others")).unionByName(others).groupBy("id").agg(
+        F.sum("others").alias("n_links"))
     real = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     least = linked.groupBy("cls").agg(F.min(real).alias("component_id"))
-    out = [real.alias("doc_id"), F.col("n").alias("n_shingles"), "component_id"]
-    return linked.join(least, "cls").select(*out).unionByName(
-        named.where("n = 0").withColumn("component_id", real).select(*out))
+    out = [real.alias("doc_id"), F.col("n").alias("n_shingles"), "n_links", "component_id"]
+    return linked.join(least, "cls").join(numbers, "id").select(*out).unionByName(
+        named.where("n = 0").withColumn("component_id", real).withColumn("n_links", F.lit(0).cast("long")).select(*out))
 
 
 def first_of_each(docs: DataFrame, width: int = 4, threshold: int = 85) -> DataFrame:
@@ -367,7 +409,7 @@ def first_of_each(docs: DataFrame, width: int = 4, threshold: int = 85) -> DataF
     A row is known by doc_id and text: rows that repeat both go, different texts under one doc_id (or under none)
     are different documents. Documents without shingles link with nothing and stay.
     """
-    named = stored(_classed(docs, width, threshold), "jaccard-named")
+    named = stored(_classed(*ngram_links(docs, width, threshold, every=False)), "jaccard-named")
     one = named.where("n > 0").groupBy("cls").agg(
         F.min(F.struct((F.col("doc_id") == NO_ID).alias("unnamed"), "doc_id", "th")).alias("one")).select("one.doc_id", "one.th")
     kept = one.unionByName(named.where("n = 0").select("doc_id", "th").distinct()).toDF("_id", "_th")

@@ -81,6 +81,35 @@ def test_jaccard_odd_rows(odd, none):
     assert jaccard_join.ngram_classes(none).count() == 0
 
 
+@pytest.mark.parametrize("page", [1_000_000, 300])
+def test_jaccard_lists_every_link(spark, page, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PAGE_SHINGLES", page)
+    base = [f"v{i}" for i in range(60)]
+    texts = [" ".join(base + [f"{c}{i}" for i in range(k)]) for k, c in enumerate("abcdefghijkl")]  # from 57 to 68 shingles
+    texts += [texts[3]] * 2 + ["some other words here now", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [shingles(t) for t in texts]
+    near = [[i != j and 100 * len(a & b) >= 85 * len(a | b) > 0 for j, b in enumerate(sets)] for i, a in enumerate(sets)]
+    want = {i: (len(sets[i]), sum(row)) for i, row in enumerate(near)}
+    assert 0 < want[0][1] < want[3][1] or want[11][1] < want[3][1]
+    assert {r.doc_id: (r.n_shingles, r.n_links) for r in jaccard_join.ngram_classes(docs).collect()} == want
+    known, links = jaccard_join.ngram_links(docs)
+    ids = {r.doc_id: r.id for r in known.collect()}
+    got = [tuple(sorted((r.a, r.b))) for r in links.collect()]
+    assert len(set(got)) == len(got)
+    assert set(got) == {tuple(sorted((ids[i], ids[j]))) for i in ids for j in ids if near[i][j] and ids[i] != ids[j]}
+
+
+@pytest.mark.parametrize("page", [1_000_000, 2_000])
+def test_jaccard_fewer_links_have_the_same_classes(documents, page, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PAGE_SHINGLES", page)
+    rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    known, links = jaccard_join.ngram_links(documents, every=False)
+    cls = {r.doc_id: r.cls for r in jaccard_join._classed(known, links).where("n > 0").collect()}
+    want = {d: top for d, (n, top) in brute_classes(rows).items() if n}
+    assert len({(cls[d], want[d]) for d in want}) == len(set(cls.values())) == len(set(want.values()))
+
+
 def test_blocks_miss_no_linked_pair():
     rng, blocks = np.random.default_rng(3), jaccard_join.Blocks(85)
     for n in (1, 2, 5, 6, 7, 11, 12, 13, 40, 200, 900):
