@@ -1,4 +1,4 @@
-"""Training-data operators: mixing, similarity joins, tokens, language, toxicity, line removal, decontamination, shards, search."""
+"""Training-data operators: mixing, similarity joins, tokens, language, toxicity, line removal, decontamination, shards, search, chats, spelling, whitening."""
 
 import sys
 
