@@ -190,7 +190,7 @@ def canonical_turns(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -
     return found.select(
         pick(lambda x: _get(x.conversation, "string")).alias("conv_id"),
         F.when(F.col("layout").isin(by_turn), F.lit(-1)).otherwise(F.monotonically_increasing_id()).alias("record"),
-        F.explode(pick(_turns)).alias("t")).select("conv_id", "record", "t.*")
+        pick(_turns).alias("all")).select("conv_id", "record", F.explode("all").alias("t")).select("conv_id", "record", "t.*")
 
 
 def unmapped(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Grouping of spelling variants by permuterm rotations, in DataFrame functions only.
+"""Grouping of spelling variants by permuterm rotations.
 
 A word is marked with a terminator and rotated: the word ``xcy`` has the rotation ``y$xc``, whose prefix ``y$x`` skips the
 character ``c``. A word ``xc'y`` has the same prefix, so replacements share it, and ``y$x`` itself is a rotation of the word
@@ -10,11 +10,15 @@ of the others and the best of them, and never lists pairs; entries are added up
 Two words that differ by one replacement meet in one group only. A deletion from a run of equal characters gives
 the same word at each of its places; it counts at the run's first place. So near words are counted once.
 
+All this is DataFrame functions. Only words beyond ``LONG`` code points, whose rotations would be as many texts of that length,
+write a rotation as the hash of its characters and the place of its terminator, which sums over the word give in one pass; words
+that meet there are compared exactly.
+
 A word's form is its most frequent near word, if that is ``ratio`` times as frequent; forms rise in frequency by that factor, so
 the way from a word to its root has no more steps than the largest count has digits, and doubling reaches it in the logarithm of that.
 
 Defined results: null and empty texts have no words; very long texts give their words like any others; repeated rows of
-documents count as often as they stand there; an empty table gives no words; ties between forms go to the smallest in code-point
+documents count as often as they stand there; very long words take part; an empty table gives no words; ties between forms go to the smallest in code-point
 order; a word without near words has n_near 0, no form, and is its own root. A null doc_id is read as an empty text by the
 query's planting rule. Columns besides doc_id and text are not read.
 """
@@ -22,7 +26,10 @@ query's planting rule. Columns besides doc_id and text are not read.
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +38,8 @@ from cauce.llm.common import stored, table
 LETTERS = "A-Za-zÀ-ÿ"
 END = "$"
 ROWS = 500_000  # rotations in a shuffle partition
+LONG = 256
+BASE = 0x9E3779B97F4A7C15
 
 
 def runs(docs: DataFrame, letters: str = LETTERS, shortest: int = 1) -> DataFrame:
@@ -69,8 +78,51 @@ def rotations(words: DataFrame) -> DataFrame:
         F.when(i >= -1, F.lit(1)).otherwise((_part(-i, F.lit(1)) != _part(-i - 1, F.lit(1))).cast("int")).alias("first"))
 
 
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, at, id): the rotations of ``rotations``, as the hash of their characters and the terminator's place."""
+    turn, back = np.uint64(BASE), np.uint64(pow(BASE, -1, 1 << 64))
+    for batch in batches:
+        for own, word in zip(batch.column("id").to_pylist(), batch.column("word").to_pylist()):
+            codes = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+            n = len(codes)
+            with np.errstate(over="ignore"):
+                powers = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n - 1, turn))), dtype=np.uint64)
+                upto = np.concatenate(([np.uint64(0)], np.cumsum(codes * powers, dtype=np.uint64)))
+                less = upto[:-1] + (upto[-1] - upto[1:]) * back
+            h = np.concatenate((np.full(n + 1, upto[-1]), less)).view(np.int64)
+            at = np.concatenate((np.arange(n + 1), np.arange(n)))
+            for k in range(0, len(h), 100_000):
+                part = slice(k, k + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(h[part]), pa.array(at[part]), pa.array(np.full(len(h[part]), own))], ["h", "at", "id"])
+
+
+def _near_long(words: DataFrame) -> DataFrame:
+    """(word, near, best) of pairs with a word beyond LONG, one row a near word."""
+    some = words.where(F.length("word") >= LONG).withColumn("id", F.xxhash64("word"))
+    met = some.select("id", "word").mapInArrow(_hashed, "h long, at long, id long").groupBy("h", "at").agg(
+        F.array_sort(F.collect_set("id")).alias("ids")).where(F.size("ids") > 1)  # one for each letter at most
+    pairs = met.select("at", "ids", F.explode("ids").alias("a")).select("at", "a", F.explode("ids").alias("b")).where("a != b").groupBy(
+        "a", "b").agg(F.min("at").cast("int").alias("at"))
+    one, other = (some.select(F.col("id").alias(k), F.col("word").alias(f"w{k}"), F.col("n").alias(f"n{k}"),
+                              F.length("word").alias(f"l{k}")) for k in "ab")
+    rest = lambda k: F.substring(f"w{k}", F.col("at") + 1 + (F.col(f"l{k}") >= F.greatest("la", "lb")).cast("int"), F.col(f"l{k}"))
+    same = (F.substring("wa", F.lit(1), F.col("at")) == F.substring("wb", F.lit(1), F.col("at"))) & (rest("a") == rest("b"))
+    return pairs.join(one, "a").join(other, "b").where(
+        (F.greatest("la", "lb") > LONG) & (F.abs(F.col("la") - F.col("lb")) <= 1) & same).select(
+        F.col("wa").alias("word"), F.lit(1).cast("long").alias("near"), F.struct((-F.col("nb")).alias("m"), F.col("wb").alias("word")).alias("best"))
+
+
 def near_words(words: DataFrame) -> DataFrame:
     """(word, n_near, best: -n and word of its most frequent near word) of the words (word, n) that have near words."""
+    longest = words.agg(F.max(F.length("word"))).first()[0] or 0
+    rows = _near_short(words.where(F.length("word") <= LONG))
+    if longest > LONG:
+        rows = rows.unionByName(_near_long(words))
+    return rows.groupBy("word").agg(F.sum("near").alias("n_near"), F.min("best").alias("best"))
+
+
+def _near_short(words: DataFrame) -> DataFrame:
+    """(word, near, best), one row for each group of rotations in which the word has company."""
     length = words.agg(F.sum(2 * F.length("word") + 1)).first()[0] or 0
     least = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     group = Window.partitionBy("key")
@@ -82,8 +134,7 @@ def near_words(words: DataFrame) -> DataFrame:
     whole = F.col("entries") - F.col("all")  # 1 if a word is a whole rotation of this group
     near = F.when(F.col("skips") == 1, F.col("all") - 1 + whole * F.col("first")).otherwise(F.col("firsts"))
     return scanned.select(F.col("own.word").alias("word"), near.alias("near"),
-                          F.when(F.col("top") == F.col("own"), F.col("next")).otherwise(F.col("top")).alias("best")).groupBy(
-        "word").agg(F.sum("near").alias("n_near"), F.min("best").alias("best"))
+                          F.when(F.col("top") == F.col("own"), F.col("next")).otherwise(F.col("top")).alias("best"))
 
 
 def roots(forms: DataFrame) -> DataFrame:
