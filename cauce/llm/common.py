@@ -41,7 +41,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes what ``stored`` has written; only for tables that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "stored_at", None):
+            to = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            to.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(to, True)
 
 
 def partitions_for(df: DataFrame, part_bytes: int = PARTITION_BYTES) -> int:
@@ -83,10 +93,13 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         small = large.withColumn("hub", hub).join(least, "hub").select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
             .alias("e")).select("e.*").where("a != b").distinct()
-        now = stored(small, label)
+        before, now = now, stored(small, label)
+        discard(before)
         new = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if new == mark:
             break
         mark = new
-    return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(
+    out = now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(
         now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+    out.stored_at = now.stored_at
+    return out

@@ -6,23 +6,30 @@ A document's set is its distinct word shingles, held as 64-bit hashes. Two sets
 1. Blocks. A linked pair differs in at most ``d`` shingles, and ``d`` follows from the sizes. Shingles are hashed
    into more than ``d`` groups, so a linked pair has a group with equal content. Documents that share a group's
    content meet; sizes fall into classes, and a set enters its own class and the next. No linked pair is missed.
+   The same holds for sets less any fixed shingles, since these take no difference to a pair that it did not have. So
+   shingles that are frequent in a sample of ``SAMPLE`` texts are left out before grouping: a passage that many documents
+   share does not tie them. A set with too few other shingles is keyed both ways, with and without them.
    Inside each task, members of a block are tied to the block's smallest id before the shuffle, so a family of
    copies sends one entry for each key and piece, and no block is ever listed as pairs.
-2. Families. The ties are closed to components; every link lies inside one family.
+2. Families. The ties are closed to components; every link lies inside one family. Families beyond ``PAGE_SHINGLES``
+   are keyed once more, less what is frequent in a sample of their own sets, and so fall apart if they can.
 3. Search. Within a family the sets become points of ``GROUPS`` counts, packed into a tree of bounding boxes.
    ``sum(min(count, box maximum))`` bounds the overlap of a set with everything in a box; what survives is
-   compared exactly. A family larger than ``PAGE_SHINGLES`` is cut into pages of like sizes; each page is compared
-   within itself and with every page whose sizes allow a link. So every linked pair of sets is listed, once.
+   compared exactly, in bit sets over the shingles that two sets of the family share. A family larger than ``PAGE_SHINGLES`` is
+   cut into pages of like sizes; each page is compared within itself and with every page whose sizes allow a link. So every
+   linked pair of sets is found, once.
 4. Classes. The links that tie unconnected sets are closed to components, named by their smallest document id. A
-   document's number of links counts the other documents whose sets link with its own, each copy as one.
+   document's number of links counts the other documents whose sets link with its own, each copy as one. It is added up
+   where the links are found; the links themselves are listed only if asked for (``every="list"``).
 
-Where only the classes are asked for (``every=False``), pairs that links already connect are not compared again, and
+Where only the classes are asked for (``every=""``), pairs that links already connect are not compared again, and
 a family beyond ``PAGE_SHINGLES`` is first compared with one central member: the members that link to it need no
 comparison among themselves.
 
 Defined results: null, empty and wordless texts have no shingles and link with nothing; fewer words than
 ``width`` make one shingle of the whole sequence; equal texts are one class; a null doc_id takes part, and a class
-of null ids only has a null component. Other columns are never read.
+of null ids only has a null component; repeated rows are documents of their own, each with the class and the number of links;
+a very long text is one set like any other; an empty table gives no rows. Other columns are never read.
 """
 
 from __future__ import annotations
@@ -37,23 +44,27 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cauce.llm.common import components, partitions_for, slices, stored, table, text_batches
+from cauce.llm.common import components, discard, partitions_for, slices, stored, table, text_batches
 
 GROUPS = 32
 LEAF = 16
 MEMO = 100_000
 FLUSH_ENTRIES = 500_000
 PAGE_SHINGLES = 4_000_000
+SAMPLE = 5_000
+FREQUENT = 100_000
+SEEN = 4
+BITS = 64 << 20
 U = np.uint64
 NO_ID = -(1 << 63)
 
 
 class WordHashes(dict):
-    """64-bit hash of a word; remembers as many words as MEMO."""
+    """64-bit hash of a word; remembers as many words as MEMO, none of them long."""
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh64_intdigest(word)
-        if len(self) < MEMO:
+        if len(self) < MEMO and len(word) <= 64:
             self[word] = value
         return value
 
@@ -100,29 +111,48 @@ class Blocks:
     def most_apart(self, n: int, other: int) -> int:
         return (100 - self.threshold) * (n + other) // (100 + self.threshold)
 
-    def keys(self, s: np.ndarray) -> np.ndarray:
+    def keys(self, s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
         """Block keys of a set: for its class and the next, one for the content of each group.
 
-        Empty groups are no keys as long as the others outnumber the shingles that a linked set may differ in.
+        Empty groups are no keys as long as the others outnumber the shingles that a linked set may differ in. If that
+        holds without the frequent shingles, they are left out; if not, the set is keyed both ways.
         """
         n, found = len(s), []
+        rare = s[~_among(s, frequent)]
         own = self.class_of(n)
         for c in (own, own + 1):
             top = self.top(c)
             d = self.most_apart(top, top)
             groups = d + 1 + -(-d // 25)
-            if groups > 1:
-                mixed = mix(s + U(2 * c + 1))
-                g = (mixed % U(groups)).astype(np.int64)
-                content = np.zeros(groups, U)
-                np.add.at(content, g, mix(mixed))
-            else:
-                g, content = np.zeros(n, np.int64), np.array([mix(s).sum(dtype=U)])
-            keys = mix(content + mix(np.arange(groups, dtype=U) + U(c << 32)))
-            full = np.bincount(g, minlength=groups) > 0
-            found.append(keys[full] if full.sum() > self.most_apart(n, min(top, 100 * n // self.threshold)) else keys)
+            apart = self.most_apart(n, min(top, 100 * n // self.threshold))
+            keys, full = self._contents(rare, c, groups)
+            if full.sum() > apart:
+                found.append(keys[full])
+                continue
+            if len(rare) < n:
+                found.append(keys[full])
+                keys, full = self._contents(s, c, groups)
+            found.append(keys[full] if full.sum() > apart else keys)
         return np.concatenate(found)
 
+    def _contents(self, s: np.ndarray, c: int, groups: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the contents of all groups, and which groups hold anything."""
+        content = np.zeros(groups, U)
+        if groups > 1:
+            mixed = mix(s + U(2 * c + 1))
+            g = (mixed % U(groups)).astype(np.int64)
+            np.add.at(content, g, mix(mixed))
+        else:
+            g, content[0] = np.zeros(len(s), np.int64), mix(s).sum(dtype=U)
+        return mix(content + mix(np.arange(groups, dtype=U) + U(c << 32))), np.bincount(g, minlength=groups) > 0
+
+
+def _among(s: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which values of s are among the sorted ``some``."""
+    if not len(some):
+        return np.zeros(len(s), bool)
+    return some[np.minimum(np.searchsorted(some, s), len(some) - 1)] == s
+
 
 def _ties(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of entries (key, id): the first id of each key, and ties (id, first id) of the others, each once."""
@@ -138,7 +168,8 @@ def _ties(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 ENTRY = "part int, kind int, a binary, b binary, c binary, d binary"
 
 
-def _entries(width: int, threshold: int, parts: int):
+def _entries(threshold: int, parts: int, frequent: np.ndarray, width: int | None):
+    """Documents and block entries out of texts, or, without a width, block entries out of sets (id, shingles)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, blocks, seen = WordHashes(), Blocks(threshold), set()
         keys, ids, docs, held = [], [], [], 0
@@ -168,26 +199,58 @@ def _entries(width: int, threshold: int, parts: int):
                 [pa.array(c, t) for c, t in zip(cols, [pa.int32()] * 2 + [pa.binary()] * 4)],
                 ["part", "kind", "a", "b", "c", "d"])
 
-        for piece in slices(batches):
+        def sets(piece: pa.RecordBatch):
+            if width is None:
+                for own, shingles in zip(piece.column("id").to_pylist(), piece.column("shingles").to_pylist()):
+                    yield own & (1 << 64) - 1, np.frombuffer(shingles, U)
+                return
             for doc_id, text, th in zip(*(piece.column(c).to_pylist() for c in ("doc_id", "text", "th"))):
                 s = shingle_set(text, width, memo)
                 own = int(mix(s).sum(dtype=U) ^ U(len(s))) if len(s) else 0
                 docs.append((NO_ID if doc_id is None else doc_id, th, own, len(s)))
+                yield own, s
+
+        for piece in slices(batches):
+            for own, s in sets(piece):
                 if len(s) and own not in seen:
                     if len(seen) < MEMO:
                         seen.add(own)
-                    keys.append(blocks.keys(s))
+                    keys.append(blocks.keys(s, frequent))
                     ids.append(np.full(len(keys[-1]), own, U))
                     held += len(keys[-1])
                 if held >= FLUSH_ENTRIES or len(docs) >= 10_000:
                     yield rows()
                     held = 0
-        if docs:
+        if docs or keys:
             yield rows()
     return run
 
 
-def _gathered(key, frame: pd.DataFrame) -> pd.DataFrame:
+def _counted(width: int | None):
+    """(s, n): in how many sets of a piece a shingle stands, out of texts or, without a width, out of sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = WordHashes()
+        for piece in slices(batches, 128):
+            made = [np.frombuffer(x, U) for x in piece.column("shingles").to_pylist()] if width is None else [
+                shingle_set(t, width, memo) for t in piece.column("text").to_pylist()]
+            values, times = np.unique(np.concatenate(made), return_counts=True) if made else (np.empty(0, U), np.empty(0, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(times)], ["s", "n"])
+    return run
+
+
+def _frequent(rows: DataFrame, by: str, width: int | None) -> np.ndarray:
+    """Sorted shingles that at least SEEN of about SAMPLE rows hold, at most the FREQUENT most frequent.
+
+    Whatever the sample holds, no link is lost; it decides only how many sets meet in vain.
+    """
+    share = min(1.0, SAMPLE / max(rows.count(), 1))
+    some = rows.where(F.pmod(F.xxhash64(F.lit("sample"), by), F.lit(1 << 30)) < int(share * (1 << 30))).dropDuplicates([by])
+    found = some.mapInArrow(_counted(width), "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).where(F.col("n") >= SEEN).orderBy(
+        F.desc("n"), "s").limit(FREQUENT).select("s").toPandas()
+    return np.sort(found.s.to_numpy(np.int64).view(U))
+
+
+def _gathered(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     out = []
     for kind, types in ((0, "a b c d"), (1, "a b")):
         part = frame[frame.kind == kind]
@@ -230,6 +293,47 @@ class CountTree:
         return at
 
 
+class Overlaps:
+    """Sizes of intersections with one of the sets: over bit sets if they are shorter than the lists, else over the lists.
+
+    Only shingles that two sets of the family share count.
+    """
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        sizes = np.array([len(s) for s in sets])
+        values, ranks, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = times > 1
+        new, wide = np.cumsum(shared) - 1, int(shared.sum())
+        self.ranks = [new[r[shared[r]]].astype(np.int32) for r in np.split(ranks, np.cumsum(sizes)[:-1])]
+        self.sizes = np.array([len(r) for r in self.ranks])
+        words = -(-wide // 64)
+        self.bits = None
+        if words * len(sets) * 8 <= BITS and words <= max(self.sizes.mean(), 1):
+            self.bits = np.zeros((len(sets), words), U)
+            row = np.zeros(64 * words, np.uint8)
+            for k, r in enumerate(self.ranks):
+                row[r] = 1
+                self.bits[k] = np.packbits(row).view(U)
+                row[r] = 0
+        else:
+            self.own = np.zeros(wide + 1, np.uint8)
+
+    def with_one(self, q: int, near: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(near), np.int64)
+        if self.bits is not None:
+            step = max(1, (1 << 20) // max(self.bits.shape[1], 1))
+            for at in range(0, len(near), step):
+                out[at:at + step] = np.bitwise_count(self.bits[near[at:at + step]] & self.bits[q]).sum(1, dtype=np.int64)
+            return out
+        self.own[self.ranks[q]] = 1
+        some = near[self.sizes[near] > 0]
+        if len(some):
+            starts = np.concatenate(([0], np.cumsum(self.sizes[some])[:-1]))
+            out[self.sizes[near] > 0] = np.add.reduceat(self.own[np.concatenate([self.ranks[c] for c in some])], starts, dtype=np.int64)
+        self.own[self.ranks[q]] = 0
+        return out
+
+
 def family_links(sets: list[np.ndarray], threshold: int, side: np.ndarray, every: bool) -> Iterator[tuple]:
     """Links among the sets: (position, positions that link with it, which of these links tie what was not connected).
 
@@ -239,11 +343,10 @@ def family_links(sets: list[np.ndarray], threshold: int, side: np.ndarray, every
     m = len(sets)
     sizes = np.array([len(s) for s in sets])
     counts = np.stack([np.bincount((mix(s) & U(GROUPS - 1)).astype(np.int64), minlength=GROUPS) for s in sets])
-    values, ranks = np.unique(np.concatenate(sets), return_inverse=True)
-    ranks = np.split(ranks.astype(np.int32), np.cumsum(sizes)[:-1])
+    overlaps = Overlaps(sets)
     order = np.lexsort((*counts.T[:2], sizes))
     tree = CountTree(counts[order], sizes[order], threshold)
-    root, own = np.arange(m), np.zeros(len(values), np.uint8)
+    root = np.arange(m)
     for k in range(m):
         q = order[k]
         near = order[tree.search(counts[q], sizes[q], k)]
@@ -252,10 +355,7 @@ def family_links(sets: list[np.ndarray], threshold: int, side: np.ndarray, every
             near = near[root[near] != root[q]]
         if not len(near):
             continue
-        own[ranks[q]] = 1
-        starts = np.concatenate(([0], np.cumsum(sizes[near])[:-1]))
-        both = np.add.reduceat(own[np.concatenate([ranks[c] for c in near])], starts, dtype=np.int64)
-        own[ranks[q]] = 0
+        both = overlaps.with_one(q, near)
         found = near[100 * both >= threshold * (sizes[q] + sizes[near] - both)]
         tie = np.zeros(len(found), bool)
         for i in np.flatnonzero(root[found] != root[q]):
@@ -276,20 +376,28 @@ def _sets(width: int):
     return run
 
 
-LINK = "a long, b long, a_copies long, b_copies long, tie boolean"
+LINK = "a long, b long, others long, tie boolean"  # others: documents that link with a; 0 for rows that list a link
 
 
-def _family_task(threshold: int, every: bool):
+def _family_task(threshold: int, every: str):
+    """Listed links (of ``every="list"`` all, else those that tie), and the number of links of each set if asked for (``"count"``)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         frame, out, held = pd.concat(list(batches)).drop_duplicates(["family", "id"]), [], 0
         for _, own in frame.groupby("family"):
-            ids, copies = own.id.to_numpy(), own.copies.to_numpy()
-            for q, found, tie in family_links([np.frombuffer(x, U) for x in own.shingles], threshold, own.side.to_numpy(), every):
-                out.append(pd.DataFrame({"a": ids[q], "b": ids[found], "a_copies": copies[q], "b_copies": copies[found], "tie": tie}))
-                held += len(found)
-                if held >= FLUSH_ENTRIES:
-                    yield pd.concat(out)
-                    out, held = [], 0
+            ids, copies, others = own.id.to_numpy(), own.copies.to_numpy(), np.zeros(len(own), np.int64)
+            for q, found, tie in family_links([np.frombuffer(x, U) for x in own.shingles], threshold, own.side.to_numpy(), bool(every)):
+                others[q] += copies[found].sum()
+                others[found] += copies[q]
+                some = slice(None) if every == "list" else tie
+                if len(found[some]):
+                    out.append(pd.DataFrame({"a": ids[q], "b": ids[found[some]], "others": 0, "tie": tie[some]}))
+                    held += len(found[some])
+            if every == "count" and others.any():
+                out.append(pd.DataFrame({"a": ids, "b": ids, "others": others, "tie": False})[others > 0])
+                held += len(ids)
+            if held >= FLUSH_ENTRIES:
+                yield pd.concat(out)
+                out, held = [], 0
         if out:
             yield pd.concat(out)
     return run
@@ -309,36 +417,64 @@ def _with_pivot(threshold: int):
     return run
 
 
-def ngram_links(docs: DataFrame, width: int = 4, threshold: int = 85, every: bool = True) -> tuple[DataFrame, DataFrame]:
+def _met(rows: DataFrame, threshold: int, parts: int, frequent: np.ndarray, width: int | None) -> DataFrame:
+    """Documents (kind 0: x = doc_id, y = hash of the text, id, n) and ties (kind 1: x, y) out of texts or sets."""
+    entries = rows.mapInArrow(_entries(threshold, parts, frequent, width), ENTRY)
+    return stored(entries.repartition(parts, "part").groupBy("part").applyInPandas(
+        _gathered, "kind int, x long, y long, id long, n long"), "jaccard-blocks")
+
+
+def _families(met: DataFrame) -> DataFrame:
+    return components(met.where("kind = 1").select(F.col("x").alias("a"), F.col("y").alias("b")), "jaccard-families")
+
+
+SET = "family long, id long, n long, copies long, total long, shingles binary"
+
+
+def _smaller(large: DataFrame, threshold: int, parts: int) -> DataFrame:
+    """Sets of large families with the families that are left of them without what is frequent in their own sample."""
+    named = _families(_met(large.select("id", "shingles"), threshold, parts, _frequent(large.select("id", "shingles"), "id", None), None))
+    again = large.drop("family", "total").join(named.select("id", F.col("component").alias("family")), "id")
+    totals = again.groupBy("family").agg(F.sum("n").alias("total"))
+    return stored(again.join(totals, "family").select("family", "id", "n", "copies", "total", "shingles"), "jaccard-sets")
+
+
+def ngram_links(docs: DataFrame, width: int = 4, threshold: int = 85, every: str = "list") -> tuple[DataFrame, DataFrame]:
     """(documents: doc_id, th, id, n), (links a, b between ids of different sets). ``id`` names a distinct set.
 
-    Each linked pair is listed once, with the number of documents that have either set; the links with ``tie`` have the
-    closure of all. Without ``every``, pairs already connected are left out.
+    With ``every="list"`` each linked pair is listed once; the links with ``tie`` have the closure of all. With ``"count"`` only these are
+    listed, and rows of a set with itself say how many documents link with it (``others``; several rows of a set add
+    up). With ``""`` pairs already connected are left out, and nothing is counted.
     """
     parts = 4 * partitions_for(text_batches(docs))
-    entries = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th")).mapInArrow(
-        _entries(width, threshold, parts), ENTRY)
-    met = stored(entries.repartition(parts, "part").groupBy("part").applyInPandas(
-        _gathered, "kind int, x long, y long, id long, n long"), "jaccard-blocks")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
+    met = _met(texts, threshold, parts, _frequent(texts.select("th", "text"), "th", width), width)
     known = met.where("kind = 0").select(F.col("x").alias("doc_id"), F.col("y").alias("th"), "id", "n")
-    family = stored(components(met.where("kind = 1").select(F.col("x").alias("a"), F.col("y").alias("b"))), "jaccard-families")
+    family = _families(met)
     one = known.where("n > 0").groupBy("id").agg(F.min(F.struct("doc_id", "th")).alias("one"), F.first("n").alias("n"), F.count("*").alias("copies"))
     members = one.join(family, "id").select(F.col("component").alias("family"), "id", "n", "copies", "one.*")
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text",
-                        F.xxhash64("text").alias("th"))
     sizes = members.groupBy("family").agg(F.sum("n").alias("total"))
     members = stored(members.join(sizes, "family"), "jaccard-members")
-    sets = stored(texts.join(members, ["doc_id", "th"]).select("family", "id", "n", "copies", "total", "text").mapInArrow(
-        _sets(width), "family long, id long, n long, copies long, total long, shingles binary"), "jaccard-sets")
-    small = sets.where(F.col("total") <= PAGE_SHINGLES)
+    # what repeats doc_id and text is one set; a join of one kind at every size
+    chosen = texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).dropDuplicates(["doc_id", "th"]).join(
+        members.hint("merge"), ["doc_id", "th"])
+    sets = stored(chosen.select("family", "id", "n", "copies", "total", "text").mapInArrow(_sets(width), SET), "jaccard-sets")
+    discard(members, family)
+    large = sets.where(F.col("total") > PAGE_SHINGLES)
+    small, paged = sets.where(F.col("total") <= PAGE_SHINGLES), None
+    if not large.isEmpty():
+        large = _smaller(large, threshold, parts)
+        small = small.unionByName(large.where(F.col("total") <= PAGE_SHINGLES))
+        paged = large.where(F.col("total") > PAGE_SHINGLES)
     bins = max(1, int((small.agg(F.sum("n")).first()[0] or 0) // PAGE_SHINGLES), parts)
     links = small.select("family", "id", "copies", "shingles", F.lit(-1).alias("side"),
                          F.pmod(F.xxhash64("family"), F.lit(bins)).alias("bin")).groupBy(
         "bin").applyInPandas(_family_task(threshold, every), LINK)
-    large = sets.where(F.col("total") > PAGE_SHINGLES)
-    if not large.isEmpty():
-        links = links.unionByName(_large_links(large, threshold, every))
-    return known, stored(links, "jaccard-links")
+    if paged is not None and not paged.isEmpty():
+        links = links.unionByName(_large_links(paged, threshold, every))
+    links = stored(links, "jaccard-links")
+    discard(sets, large)
+    return known, links
 
 
 def _central_links(large: DataFrame, threshold: int) -> DataFrame:
@@ -354,7 +490,7 @@ def _central_links(large: DataFrame, threshold: int) -> DataFrame:
         "jaccard-pivots")
 
 
-def _large_links(large: DataFrame, threshold: int, every: bool) -> DataFrame:
+def _large_links(large: DataFrame, threshold: int, every: str) -> DataFrame:
     """Links of families beyond one page: page by page, if not ``every`` after all members against a central one."""
     tried = large.withColumn("linked", F.lit(False)) if every else _central_links(large, threshold)
     ratio = float(np.log(100 / threshold)) * (1 + 1e-9)  # sizes just in reach of each other are never two bands apart
@@ -376,8 +512,7 @@ def _large_links(large: DataFrame, threshold: int, every: bool) -> DataFrame:
     if every:
         return links
     return links.unionByName(tried.where("linked and id != pivot").select(
-        F.col("pivot").alias("a"), F.col("id").alias("b"), F.col("pivot_copies").alias("a_copies"),
-        F.col("copies").alias("b_copies"), F.lit(True).alias("tie")))
+        F.col("pivot").alias("a"), F.col("id").alias("b"), F.lit(0).cast("long").alias("others"), F.lit(True).alias("tie")))
 
 
 def _classed(known: DataFrame, links: DataFrame) -> DataFrame:
@@ -389,11 +524,10 @@ def _classed(known: DataFrame, links: DataFrame) -> DataFrame:
 def ngram_classes(docs: DataFrame, width: int = 4, threshold: int = 85) -> DataFrame:
     """One row per document: doc_id, n_shingles, n_links (other documents that link with it), component_id (smallest
     doc_id of its class)."""
-    known, links = ngram_links(docs, width, threshold)
+    known, links = ngram_links(docs, width, threshold, "count")
     named = _classed(known, links)
     linked = named.where("n > 0")
-    others = links.groupBy(F.col("a").alias("id")).agg(F.sum("b_copies").alias("others")).unionByName(
-        links.groupBy(F.col("b").alias("id")).agg(F.sum("a_copies").alias("others")))
+    others = links.where("others > 0").groupBy(F.col("a").alias("id")).agg(F.sum("others").alias("others"))
     numbers = linked.groupBy("id").agg((F.count("*") - 1).alias("others")).unionByName(others).groupBy("id").agg(
         F.sum("others").alias("n_links"))
     real = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
@@ -409,7 +543,7 @@ def first_of_each(docs: DataFrame, width: int = 4, threshold: int = 85) -> DataF
     A row is known by doc_id and text: rows that repeat both go, different texts under one doc_id (or under none)
     are different documents. Documents without shingles link with nothing and stay.
     """
-    named = stored(_classed(*ngram_links(docs, width, threshold, every=False)), "jaccard-named")
+    named = stored(_classed(*ngram_links(docs, width, threshold, every="")), "jaccard-named")
     one = named.where("n > 0").groupBy("cls").agg(
         F.min(F.struct((F.col("doc_id") == NO_ID).alias("unnamed"), "doc_id", "th")).alias("one")).select("one.doc_id", "one.th")
     kept = one.unionByName(named.where("n = 0").select("doc_id", "th").distinct()).toDF("_id", "_th")

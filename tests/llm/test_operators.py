@@ -93,7 +93,7 @@ def test_jaccard_lists_every_link(spark, page, monkeypatch):
     want = {i: (len(sets[i]), sum(row)) for i, row in enumerate(near)}
     assert 0 < want[0][1] < want[3][1] or want[11][1] < want[3][1]
     assert {r.doc_id: (r.n_shingles, r.n_links) for r in jaccard_join.ngram_classes(docs).collect()} == want
-    known, links = jaccard_join.ngram_links(docs)
+    known, links = jaccard_join.ngram_links(docs, every="list")
     ids = {r.doc_id: r.id for r in known.collect()}
     got = [tuple(sorted((r.a, r.b))) for r in links.collect()]
     assert len(set(got)) == len(got)
@@ -104,34 +104,70 @@ def test_jaccard_lists_every_link(spark, page, monkeypatch):
 def test_jaccard_fewer_links_have_the_same_classes(documents, page, monkeypatch):
     monkeypatch.setattr(jaccard_join, "PAGE_SHINGLES", page)
     rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
-    known, links = jaccard_join.ngram_links(documents, every=False)
+    known, links = jaccard_join.ngram_links(documents, every="")
     cls = {r.doc_id: r.cls for r in jaccard_join._classed(known, links).where("n > 0").collect()}
     want = {d: top for d, (n, top) in brute_classes(rows).items() if n}
     assert len({(cls[d], want[d]) for d in want}) == len(set(cls.values())) == len(set(want.values()))
 
 
-def test_blocks_miss_no_linked_pair():
-    rng, blocks = np.random.default_rng(3), jaccard_join.Blocks(85)
+@pytest.mark.parametrize("threshold", [85, 80])
+@pytest.mark.parametrize("common", [0, 0.3, 0.9, 1])
+def test_blocks_miss_no_linked_pair(threshold, common):
+    rng, blocks = np.random.default_rng(3), jaccard_join.Blocks(threshold)
+    frequent = np.sort(rng.integers(0, 1 << 62, 2000).astype(np.uint64))
     for n in (1, 2, 5, 6, 7, 11, 12, 13, 40, 200, 900):
         for _ in range(30):
-            a = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+            k = int(rng.binomial(n, common))
+            a = np.unique(np.concatenate([rng.choice(frequent, k), rng.integers(0, 1 << 62, n - k).astype(np.uint64)]))
+            a = rng.permutation(a)
             drop, add = rng.integers(0, n // 8 + 2), rng.integers(0, n // 8 + 2)
-            b = np.unique(np.concatenate([a[min(drop, n - 1):], rng.integers(0, 1 << 62, add).astype(np.uint64)]))
+            more = rng.integers(0, 1 << 62, add).astype(np.uint64) if rng.random() < 0.5 else rng.choice(frequent, add)
+            b = np.unique(np.concatenate([a[min(drop, n - 1):], more]))
+            a = np.sort(a)
             both = len(np.intersect1d(a, b))
-            if 100 * both >= 85 * (len(a) + len(b) - both):
-                assert set(blocks.keys(a).tolist()) & set(blocks.keys(b).tolist())
+            if 100 * both >= threshold * (len(a) + len(b) - both):
+                assert set(blocks.keys(a, frequent).tolist()) & set(blocks.keys(b, frequent).tolist())
+
+
+def test_overlaps_over_bits_and_lists(monkeypatch):
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 400, rng.integers(1, 300)).astype(np.uint64)) for _ in range(40)] + [np.array([10 ** 9], np.uint64)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    for bits in (1 << 20, 0):
+        monkeypatch.setattr(jaccard_join, "BITS", bits)
+        overlaps = jaccard_join.Overlaps(sets)
+        assert (overlaps.bits is not None) == bool(bits)
+        rows = [overlaps.with_one(q, np.arange(len(sets))).tolist() for q in range(len(sets))]
+        assert [r[:-1] for r in rows[:-1]] == [w[:-1] for w in want[:-1]] and rows[-1][:-1] == [0] * 40  # alone: nothing shared
+
+
+def test_jaccard_counts_repeated_rows_and_long_texts(spark, monkeypatch):
+    """A third of all rows repeat one text under one id or none; passages that all documents share tie nothing."""
+    monkeypatch.setattr(jaccard_join, "SEEN", 2)
+    monkeypatch.setattr(jaccard_join, "PAGE_SHINGLES", 3_000)
+    passage = " ".join(f"p{i}" for i in range(80))
+    rows = [(None, passage + " end")] * 60 + [(1, passage + " end")] * 40
+    rows += [(10 + k, " ".join(f"u{k}x{i}" for i in range(60 + k)) + " " + passage) for k in range(60)]
+    rows += [(100 + k, " ".join(f"v{i}" for i in range(200)) + f" e{k}") for k in range(40)] + [(200, LONG), (201, LONG + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = defaultdict(list)
+    for r in jaccard_join.ngram_classes(docs).collect():
+        got[r.doc_id].append((r.component_id, r.n_links))
+    assert got[None] == [(1, 99)] * 60 and got[1] == [(1, 99)] * 40 and got[200] == [(200, 1)] and got[201] == [(200, 1)]
+    assert all(got[10 + k] == [(10 + k, 0)] for k in range(60)) and all(got[100 + k] == [(100, 39)] for k in range(40))
 
 
 def test_documents_of_small_tasks_spread_over_parts(spark):
     docs = spark.range(0, 64, 1, 32).selectExpr("id AS doc_id", "concat('same words in each ', id % 2) AS text", "xxhash64(id) AS th")
-    rows = docs.mapInArrow(jaccard_join._entries(4, 85, 16), jaccard_join.ENTRY).where("kind < 2").groupBy("kind", "part").count().collect()
+    rows = docs.mapInArrow(
+        jaccard_join._entries(85, 16, np.empty(0, np.uint64), 4), jaccard_join.ENTRY).where("kind < 2").groupBy("kind", "part").count().collect()
     assert {(r.kind, r.part): r["count"] for r in rows if r.kind == 0} == {(0, p): 2 for p in range(16)}
 
 
 @pytest.mark.parametrize("name", sorted(TWINS))
 def test_twin(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{TABLES}/{t}.parquet'")
     want = con.execute(TWINS[name]).df()
     got = QUERIES[name](spark, TABLES).toPandas()
