@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cauce.functions.numbers import count_where
-from cauce.operators.integrity import without_parent
 
 
 @dataclass(frozen=True)
@@ -105,23 +104,34 @@ def _unique(df: DataFrame, test: Unique) -> DataFrame:
     return repeated.where("_n > 1").agg(F.lit(test.name).alias("prueba"), F.count(F.lit(1)).alias("fallas"))
 
 
-def _related(child: DataFrame, parent: DataFrame, test: Related) -> DataFrame:
-    """Rows without a parent, counted by key first: one row per key is shuffled and looked up, whatever it stands for."""
-    keys = child.groupBy(test.column).agg(F.count(F.lit(1)).alias("_rows"))
-    lost = without_parent(keys, parent, test.column, test.parent_column)
-    return lost.agg(F.lit(test.name).alias("prueba"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("fallas"))
+def _related(child: DataFrame, parents: Mapping[str, DataFrame], tests: Sequence[Related]) -> DataFrame:
+    """Rows without a parent, for all relationships of a table in one pass over it and one join.
+
+    The keys of all tests are stacked and counted first: one row per test and key is shuffled and looked up, whatever it
+    stands for.
+    """
+    stacked = child.select(F.explode(F.array(*(
+        F.struct(F.lit(t.name).alias("prueba"), F.col(t.column).cast("string").alias("_key")) for t in tests))).alias("_k")).select("_k.*")
+    keys = stacked.where(F.col("_key").isNotNull()).groupBy("prueba", "_key").agg(F.count(F.lit(1)).alias("_rows"))
+    known = reduce(DataFrame.unionByName, (
+        parents[t.parent].select(F.lit(t.name).alias("prueba"), F.col(t.parent_column).cast("string").alias("_key")) for t in tests))
+    lost = keys.join(known, ["prueba", "_key"], "left_anti").groupBy("prueba").agg(F.sum("_rows").alias("_lost"))
+    names = child.sparkSession.createDataFrame([(t.name,) for t in tests], "prueba string")
+    return names.join(lost, "prueba", "left").select("prueba", F.coalesce("_lost", F.lit(0)).cast("bigint").alias("fallas"))
 
 
 def run_tests(tables: Mapping[str, DataFrame], tests: Sequence[Test]) -> DataFrame:
     """One line per test: (prueba, fallas)."""
     parts: list[DataFrame] = []
     by_table: dict[str, list[RowTest]] = {}
+    by_child: dict[str, list[Related]] = {}
     for test in tests:
         if isinstance(test, Unique):
             parts.append(_unique(tables[test.table], test))
         elif isinstance(test, Related):
-            parts.append(_related(tables[test.table], tables[test.parent], test))
+            by_child.setdefault(test.table, []).append(test)
         else:
             by_table.setdefault(test.table, []).append(test)
     parts += [_row_tests(tables[t], group) for t, group in by_table.items()]
+    parts += [_related(tables[t], tables, group) for t, group in by_child.items()]
     return reduce(DataFrame.unionByName, parts)

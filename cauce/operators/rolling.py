@@ -6,6 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def daily_totals(rows: DataFrame, key: str, day: str, amount: str) -> DataFrame:
+    """Per key and day, count (_n), sum (_s) and sum of squares (_q) of an amount in cents."""
+    cents = (F.col(amount) * 100).cast("decimal(16,0)")
+    return rows.groupBy(key, day).agg(
+        F.count(amount).alias("_n"), F.sum(cents).alias("_s"), F.sum(cents * cents).alias("_q")
+    )
+
+
 def trailing_day_totals(rows: DataFrame, key: str, day: str, amount: str, days: int) -> DataFrame:
     """Per key and day, count, sum and sum of squares of the ``days`` days before that day.
 
@@ -14,10 +22,7 @@ def trailing_day_totals(rows: DataFrame, key: str, day: str, amount: str, days:
     holds at most ``days`` of them. Amounts count in cents, as decimals, so sums are exact and do
     not depend on the order in which tasks deliver them.
     """
-    cents = (F.col(amount) * 100).cast("decimal(16,0)")
-    daily = rows.groupBy(key, day).agg(
-        F.count(amount).alias("_n"), F.sum(cents).alias("_s"), F.sum(cents * cents).alias("_q")
-    )
+    daily = daily_totals(rows, key, day, amount)
     before = Window.partitionBy(key).orderBy(F.unix_date(day)).rangeBetween(-days, -1)
     return daily.select(
         key,

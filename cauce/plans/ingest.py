@@ -7,12 +7,13 @@ import time
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from cauce.operators.late import uncommitted
 from cauce.plans import monitor
 from cauce.schemas import SOURCES, SourceTable
 from cauce.sources.lake import PARTITIONS, Lake, write_model
@@ -90,11 +91,19 @@ def read_run_log(lake: Lake) -> DataFrame | None:
 
 @dataclass
 class Ingestion:
-    """Runs of the Bronze job against one lake."""
+    """Runs of the Bronze job against one lake.
+
+    Without ``overlap_days`` a run takes the rows strictly after the watermark, as the source system's own job does: rows that
+    arrive late for the watermark's day are lost, and one date in the future parks the mark. With it, a run reads
+    that many days before the watermark again and takes out the rows that earlier runs have committed; the mark is the
+    highest date up to the day of the run. Rows that arrive later than the overlap are lost; rows of future dates are read by
+    every run and taken out again.
+    """
 
     lake: Lake
     source_system: str
     tables: Mapping[str, SourceTable] = field(default_factory=lambda: SOURCES)
+    overlap_days: int | None = None
 
     @property
     def _log_path(self) -> str:
@@ -115,6 +124,14 @@ class Ingestion:
         found = latest_by(entries.where(F.col("table") == table), ["table"], "last_value", "finished_at").first()
         return found["last_value"] if found else None
 
+    def _without_committed(self, rows: DataFrame, table: SourceTable, since: date | None) -> DataFrame:
+        """The rows without those after ``since`` that earlier runs have committed."""
+        log = self.run_log()
+        if log is None or not self.lake.exists(self.lake.bronze_path(table)):
+            return rows
+        committed = committed_rows(self.lake, table, flat_run_log(log)).select(*table.columns)
+        return uncommitted(rows, newer_rows(committed, table.watermark, since), table.columns)
+
     def _committed(self, batch_id: str) -> set[str]:
         """Tables that an earlier attempt of the batch has logged already."""
         log = self.run_log()
@@ -128,12 +145,18 @@ class Ingestion:
     ) -> tuple[dict[str, Any], date | None]:
         """Write a table's batch. Gives its log entry and its new watermark, both still uncommitted."""
         started = time.time()
-        last_value = self.watermark(table.name) if table.watermark else None
-        rows = table.project(read(table, last_value))
+        last_value = since = self.watermark(table.name) if table.watermark else None
+        highest = F.col(table.watermark) if table.watermark else None
+        if table.watermark and self.overlap_days is not None:
+            since = last_value - timedelta(days=self.overlap_days) if last_value else None
+            highest = F.when(highest <= F.lit(at.date()), highest)
+        rows = table.project(read(table, since))
         metrics = [F.count(F.lit(1)).alias("rows")]
         if table.watermark:
-            rows = newer_rows(rows, table.watermark, last_value)
-            metrics.append(F.max(table.watermark).alias("last"))
+            rows = newer_rows(rows, table.watermark, since)
+            metrics.append(F.max(highest).alias("last"))
+            if self.overlap_days is not None:
+                rows = self._without_committed(rows, table, since)
         # the count and the new watermark come out of the write itself, not from further passes
         observed = Observation()
         audited = with_audit(rows.observe(observed, *metrics), batch_id, self.source_system, at)
@@ -144,7 +167,7 @@ class Ingestion:
             entry["path"] = f"{path}/year={at:%Y}/month={at:%m}/day={at:%d}/batch_id={batch_id}"
             entry["size_bytes"] = self.lake.size_of(entry["path"])
             if table.watermark:
-                last_value = observed.get["last"] or last_value
+                last_value = max(filter(None, (observed.get["last"], last_value)), default=None)
         return {**entry, "duration_s": round(time.time() - started, 2)}, last_value
 
     def run(self, read: Reader, batch_id: str | None = None, at: datetime | None = None) -> str:
@@ -210,6 +233,14 @@ def committed_rows(lake: Lake, table: SourceTable, logged: DataFrame) -> DataFra
     return lake.bronze(table).join(folders, list(PARTITIONS), "left_semi").select(*table.bronze_schema.names)
 
 
+def batch_paths(table: SourceTable, run_log: DataFrame) -> list[str]:
+    """The folders of the batches that make up a table now: one, or one per run that brought rows."""
+    logged = flat_run_log(run_log).where((F.col("tabla") == table.name) & F.col("path").isNotNull())
+    if table.mode == "full":
+        logged = logged.groupBy("tabla").agg(F.max_by("path", "started_at").alias("path"))
+    return sorted(r["path"] for r in logged.select("path").distinct().collect())
+
+
 def batch_rows(lake: Lake, table: SourceTable, run_log: DataFrame) -> DataFrame | None:
     """What a raw table holds: the newest batch of a full table, all batches of an incremental one.
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cauce.context import RunContext
@@ -70,25 +72,30 @@ def stg_sucursales(sucursales: DataFrame) -> DataFrame:
     )
 
 
-def unique_movements(movimientos: DataFrame) -> DataFrame:
+def unique_movements(movimientos: DataFrame, extra_order: Sequence[Column] = ()) -> DataFrame:
     """One row per movement: the earliest ingested.
 
     Copies that differ outside the key are told apart by the remaining columns, highest amount
-    first, so the choice does not depend on the run.
+    first, so the choice does not depend on the run; ``extra_order`` decides between rows equal in all of them.
     """
     order = (
         F.col("ingestion_ts").asc(), F.col("vr_mov").desc_nulls_last(), F.col("cod_ciudad").asc_nulls_last(),
         F.col("id_dispositivo").asc_nulls_last(), F.col("batch_id").asc(), F.col("source_system").asc(),
     )
-    return first_per_key(movimientos, MOVEMENT_KEY, order)
+    return first_per_key(movimientos, MOVEMENT_KEY, (*order, *extra_order))
 
 
-def _acceptable_movements(movimientos: DataFrame, productos: DataFrame, ctx: RunContext) -> DataFrame:
+def acceptable(unicos: DataFrame, productos: DataFrame, ctx: RunContext) -> DataFrame:
+    """Of unique movements those with an id, a date in range, a positive amount and a known product."""
     dated = rules.valid_date(F.col("fec_mov"), F.lit(ctx.first_valid_date), F.lit(ctx.as_of))
-    kept = unique_movements(movimientos).where(F.col("id_mov").isNotNull() & dated & (F.col("vr_mov") > 0))
+    kept = unicos.where(F.col("id_mov").isNotNull() & dated & (F.col("vr_mov") > 0))
     return with_parent(kept, productos, "cod_prod")
 
 
+def _acceptable_movements(movimientos: DataFrame, productos: DataFrame, ctx: RunContext) -> DataFrame:
+    return acceptable(unique_movements(movimientos), productos, ctx)
+
+
 def valid_movements(
     movimientos: DataFrame, clientes: DataFrame, productos: DataFrame, ctx: RunContext
 ) -> DataFrame:
@@ -107,9 +114,12 @@ def stg_movimientos(
     hot day is split by the adaptive join.
     """
     rows = _acceptable_movements(movimientos, productos, ctx)
-    totals = with_parent(
-        trailing_day_totals(rows, "id_cli", "fec_mov", "vr_mov", TRAILING_DAYS), clientes, "id_cli"
-    )
+    return with_statistics(rows, trailing_day_totals(rows, "id_cli", "fec_mov", "vr_mov", TRAILING_DAYS), clientes)
+
+
+def with_statistics(rows: DataFrame, day_totals: DataFrame, clientes: DataFrame) -> DataFrame:
+    """Acceptable movements of known clients with the statistics made of their (client, day) trailing totals."""
+    totals = with_parent(day_totals, clientes, "id_cli")
     measured = rows.join(totals, ["id_cli", "fec_mov"]).withColumns(
         {
             "hra_mov": rules.checked_clock(F.col("hra_mov")),

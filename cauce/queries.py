@@ -15,18 +15,21 @@ from cauce import oracle
 from cauce.context import RunContext
 from cauce.functions import rules
 from cauce.functions.numbers import repaired_int
-from cauce.operators import checks, faults
+from cauce.operators import checks, faults, ranges
 from cauce.operators.checks import Accepted, NotNull, Related, Unique
+from cauce.operators.clustering import clustered
 from cauce.operators.dedup import distinct_rows
+from cauce.operators.distinct_counts import DistinctCounts
 from cauce.operators.integrity import with_parent
 from cauce.operators.nulls import apply_null_rules
-from cauce.plans import gold, ingest, layers, monitor, quality, rejects, silver
+from cauce.plans import gold, incremental, ingest, layers, monitor, quality, rejects, silver
 from cauce.plans.fault_run import inject_all
 from cauce.schemas import CLIENTES, COMISIONES, MOVIMIENTOS, OBLIGACIONES, PRODUCTOS, SOURCES, SUCURSALES
 from cauce.session import shared_folder
-from cauce.sources import files
+from cauce.sources import files, footers
 from cauce.sources.driver_tables import AS_OF, BATCHES, SOURCE_SYSTEM, raw_table, source_table
 from cauce.sources.lake import Lake, merge_snapshot
+from cauce.streaming.dedup_feed import feed_first_copies
 
 CONTEXT = RunContext(as_of=date.fromisoformat(AS_OF), run_ts=f"{AS_OF} 06:00:00", pii_salt="sal-de-prueba")
 
@@ -223,6 +226,20 @@ register(
     "vr_mov",
 )
 
+
+
+def trailing_by_batches(t: Tables) -> DataFrame:
+    """The trusted movements after their batches came out of order, one of them twice."""
+    state = incremental.IncrementalMovements(t.lake("incremental"), CONTEXT)
+    raw = t.raw(MOVIMIENTOS)
+    for number in (1, 0, 2, 0):
+        batch_id = BATCHES[number][0]
+        state.apply(raw.where(F.col("batch_id") == batch_id), batch_id, t.productos)
+    return state.stg_movimientos(t.clientes, t.productos)
+
+
+register("trailing_incremental", trailing_by_batches, "FROM t_mov", "vr_mov")
+
 # rejections and quality report
 register("err_calidad_datos", lambda t: t.errores, "FROM errors")
 register(
@@ -307,6 +324,33 @@ def after_a_dead_run(t: Tables, name: str) -> DataFrame:
     return ingest.raw_rows(ingestion.lake, table).select(*table.columns)
 
 
+def ranged_extract(t: Tables, parts: int = 8) -> DataFrame:
+    """The movements by ranges of date and id, each a scan of its own, and whether the row's part keeps within twice its share."""
+    table, path = SOURCES[MOVIMIENTOS], shared_folder(t.spark, "ranges")
+    files.write_table(t.source(MOVIMIENTOS), path, table)
+    stored = files.read_table(t.spark, path, table)
+    rows = ranges.read_parts(stored, ranges.key_parts(stored.select("fec_mov", "id_mov"), ("fec_mov", "id_mov"), parts), "parte")
+    limit = 2 * stored.count() / parts
+    sizes = rows.groupBy("parte").agg((F.count(F.lit(1)) <= limit).alias("parte_acotada"))
+    return rows.join(sizes, "parte").drop("parte")
+
+
+def late_rows(t: Tables) -> DataFrame:
+    """Three runs that re-read five days: some rows of the days before a limit arrive a run late, rows dated 2031 in the first."""
+    table = SOURCES[MOVIMIENTOS]
+    ingestion = ingest.Ingestion(t.lake("late"), SOURCE_SYSTEM, {MOVIMIENTOS: table}, overlap_days=5)
+    late = F.pmod(F.xxhash64("id_mov"), F.lit(5)) == 0
+    run_of, day = F.lit(len(BATCHES)), F.col("fec_mov")
+    for number, (_, _, limit) in reversed(list(enumerate(BATCHES[:-1], 1))):
+        end = F.lit(limit).cast("date")
+        own = F.when(late & (F.date_sub(end, 3) <= day), number + 1).otherwise(number)
+        run_of = F.when(day < end, own).otherwise(run_of)
+    rows = t.source(MOVIMIENTOS).withColumn("_run", F.when(day > F.lit(AS_OF).cast("date"), 1).otherwise(run_of))
+    for number, ((batch_id, _, _), at) in enumerate(zip(BATCHES, INGESTED_AT), 1):
+        ingestion.run(lambda *_, n=number: rows.where(F.col("_run") <= n), batch_id, at)
+    return ingest.raw_rows(ingestion.lake, table).select(*table.columns)
+
+
 def next_watermarks(t: Tables) -> DataFrame:
     parts = []
     for name in (MOVIMIENTOS, COMISIONES):
@@ -337,6 +381,8 @@ register("bronze_next_watermark", next_watermarks,
                             f"WHERE {c} > DATE '2024-12-31'"
                             for n, c, s in ((MOVIMIENTOS, "fec_mov", "mov"), (COMISIONES, "fec_cobro", "com"))))
 register("bronze_recovery", lambda t: after_a_dead_run(t, COMISIONES), "FROM src_com", "vr_comision")
+register("extract_ranges", ranged_extract, "SELECT *, TRUE AS parte_acotada FROM src_mov", "vr_mov")
+register("late_rows", late_rows, "FROM src_mov", "vr_mov")
 register("bronze_audit_columns",
          lambda t: ingest.with_audit(t.source(OBLIGACIONES), BATCHES[-1][0], SOURCE_SYSTEM, INGESTED_AT[-1]),
          "FROM raw_obl", "vr_aprobado vr_desembolsado sdo_capital vr_cuota")
@@ -397,6 +443,76 @@ register(
     "monto_total_cartera monto_en_mora",
 )
 
+def distinct_by_batches(t: Tables) -> DataFrame:
+    """Distinct loans and late clients of the snapshot, merged from the bitmaps of three batches; one sends loans of another again."""
+    clients = t.dim_clientes.select("id_cli", "cod_segmento", F.col("ciudad_res").alias("ciudad"))
+    rows = t.cartera.join(clients, "id_cli")
+    state = DistinctCounts(t.lake("distinct"), "cartera", ("cod_prod", "cod_segmento", "ciudad"), {
+        "total_obligaciones_activas": ("id_oblig", "TRUE"), "clientes_con_mora": ("id_cli", "dias_mora_act > 0")})
+    part = F.pmod(F.xxhash64("id_oblig"), F.lit(3))
+    for number, chosen in enumerate((part == 0, part == 1, part != 1)):
+        state.apply(rows.where(chosen), f"lote-{number}")
+    return state.counts()
+
+
+register("kpi_distinct_merged", distinct_by_batches,
+         "SELECT cod_prod, cod_segmento, ciudad, total_obligaciones_activas, clientes_con_mora FROM kpi")
+
+
+def profiles_from_footers(t: Tables) -> DataFrame:
+    """Rows and missing values of the ingested tables, out of the footers of their batches."""
+    ingestion = three_runs(t, *SOURCES)
+    log = ingestion.run_log()
+    tables = {name: (ingest.batch_paths(table, log), table.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", "))
+              for name, table in SOURCES.items()}
+    return footers.profiles(t.spark, tables, quality.WATCHED_NULLS)
+
+
+register("dq_from_footers", profiles_from_footers,
+         "SELECT tabla, NULL::VARCHAR AS columna, filas_totales AS filas, NULL::BIGINT AS nulos FROM totals UNION ALL "
+         + " UNION ALL ".join(f"SELECT '{n}', '{c}', count(*), count(*) - count({c}) FROM raw_{oracle.SHORT[n]}"
+                              for n, columns in quality.WATCHED_NULLS.items() for c in columns))
+
+
+def clustered_files(t: Tables, files_written: int = 48) -> DataFrame:
+    """How a filter on the first value of each cluster column fares: at most a third of the files that it touches without the order."""
+    columns, folder = ("cod_prod", "cod_canal"), shared_folder(t.spark, "clustered")
+    t.source(MOVIMIENTOS).repartition(files_written).write.parquet(f"{folder}/plain")
+    plain = t.spark.read.parquet(f"{folder}/plain")
+    clustered(plain, columns, files_written).write.parquet(f"{folder}/ordered")
+
+    def touched(kind: str) -> DataFrame:
+        rows = t.spark.read.parquet(f"{folder}/{kind}")
+        spans = rows.groupBy(F.input_file_name()).agg(
+            F.count(F.lit(1)).alias("n"), *(F.min(c).alias(c) for c in columns), *(F.max(c).alias(f"_{c}") for c in columns))
+        firsts = rows.agg(*(F.min(c).alias(f"first_{c}") for c in columns))
+        hit = [F.struct(F.lit(c).alias("columna"), (F.col(f"first_{c}") >= F.col(c)).cast("int").alias("hit"), "n") for c in columns]
+        return spans.join(firsts, F.col("n") > 0).select(F.inline(F.array(*hit))).groupBy("columna").agg(
+            F.sum("hit").alias(f"archivos_{kind}"), F.sum("n").alias(f"filas_{kind}"))
+
+    return touched("ordered").join(touched("plain"), "columna").select(
+        "columna", (3 * F.col("archivos_ordered") <= F.col("archivos_plain")).alias("hasta_un_tercio"), F.col("filas_ordered").alias("filas"))
+
+
+register("clustered_files", clustered_files,
+         "SELECT unnest(['cod_prod', 'cod_canal']) AS columna, TRUE AS hasta_un_tercio, (SELECT count(*) FROM src_mov) AS filas")
+
+
+def stream_of_first_copies(t: Tables) -> DataFrame:
+    """The fees through the deduplicating feed; between its calls the source sends a batch again under another id."""
+    table = SOURCES[COMISIONES]
+    ingestion = three_runs(t, COMISIONES)
+    target = f"{ingestion.lake.root}/feed"
+    feed_first_copies(ingestion.lake, table, target, "90 days")
+    again = ingestion.lake.bronze(table).where(F.col("batch_id") == BATCHES[1][0]).select(*table.columns)
+    at = INGESTED_AT[-1] + timedelta(days=1)
+    ingest.write_batch(ingest.with_audit(again, "batch-again", SOURCE_SYSTEM, at), ingestion.lake.bronze_path(table), at)
+    feed_first_copies(ingestion.lake, table, target, "90 days")
+    return t.spark.read.schema(table.bronze_schema).parquet(target).select(*table.columns)
+
+
+register("stream_first_copies", stream_of_first_copies, "FROM src_com", "vr_comision")
+
 # monitoring
 _CTES["volumes"] = " UNION ALL ".join(
     f"SELECT 'run-' || strftime({c}, '%Y-%m') AS batch_id, strftime({c}, '%Y-%m-01T02:00:00+00:00') AS started_at, "

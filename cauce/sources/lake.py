@@ -41,6 +41,16 @@ class Lake:
         files, folder = self._folder(path)
         return files.exists(folder)
 
+    def names(self, path: str) -> set[str]:
+        """Names of what lies in a folder; none if there is no such folder."""
+        files, folder = self._folder(path)
+        return {f.getPath().getName() for f in files.listStatus(folder)} if files.exists(folder) else set()
+
+    def mark(self, path: str) -> None:
+        """Create an empty file."""
+        files, file = self._folder(path)
+        files.create(file, True).close()
+
     def size_of(self, path: str) -> int:
         files, folder = self._folder(path)
         return files.getContentSummary(folder).getLength()

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from cauce.plans import gold, ingest, layers
 from cauce.schemas import CLIENTES, COMISIONES, MOVIMIENTOS, PRODUCTOS, SOURCES
+from cauce.operators.late import seen_filter, uncommitted
+from cauce.operators.ranges import Bounds, Part
 from cauce.sources import files, jdbc
 from cauce.sources.lake import Lake, Layout, merge_snapshot, write_model
 from cauce.streaming.raw_feed import append_new_batches
@@ -48,6 +50,48 @@ def test_incremental_runs(spark, lake):
     assert ingest.load_raw(job, SOURCES[MOVIMIENTOS])["rows"] == 3
 
 
+def test_overlap_takes_late_rows_once(spark, lake):
+    """Late rows of the watermark's day, further copies of a row, and dates in the future, over four runs and a repetition."""
+    table = SOURCES[MOVIMIENTOS]
+    job = ingest.Ingestion(lake, "core", {MOVIMIENTOS: table}, overlap_days=3)
+    future = date(2031, 1, 1)
+    source = [[date(2025, 1, 1), date(2025, 1, 2), future]]
+    source += [[*source[0], date(2025, 1, 2), date(2025, 1, 2)]]  # two more copies of one row, on the mark's day
+    source += [[*source[1], date(2025, 1, 1), date(2025, 1, 8), future]]
+    source += [[*source[2], date(2025, 1, 3)]]  # later than the overlap
+    marks = [date(2025, 1, 2)] * 2 + [date(2025, 1, 8)] * 2
+    counts = []
+    for n, days in enumerate(source):
+        job.run(lambda t, last, days=days: movements(spark, *days), f"b{n}", AT[n])
+        assert job.watermark(MOVIMIENTOS) == marks[n]
+        counts.append(ingest.raw_rows(lake, table).count())
+    assert counts == [3, 5, 8, 8]
+    job.run(lambda t, last: movements(spark, *source[3]), "b3", AT[4])
+    assert ingest.raw_rows(lake, table).count() == 8
+
+
+def test_overlap_of_an_empty_run(spark, lake):
+    job = ingest.Ingestion(lake, "core", {MOVIMIENTOS: SOURCES[MOVIMIENTOS]}, overlap_days=3)
+    job.run(lambda t, last: movements(spark, date(2031, 1, 1)), "b0", AT[0])  # nothing to set the mark by
+    assert job.watermark(MOVIMIENTOS) is None
+    job.run(lambda t, last: movements(spark, date(2031, 1, 1), date(2025, 1, 1)), "b1", AT[1])
+    assert job.watermark(MOVIMIENTOS) == date(2025, 1, 1) and ingest.raw_rows(lake, SOURCES[MOVIMIENTOS]).count() == 2
+
+
+def test_uncommitted_rows(spark):
+    """By all columns, missing values too, copy by copy, for a filter that is full and one that is not."""
+    old = [(i, None if i % 3 else "x", i % 7) for i in range(3000)] + [(1, None, 1)]
+    new = [(i, None if i % 3 else "x", i % 7) for i in range(1500, 4500)] + [(1, None, 1)] * 3 + [(None, None, None)] * 2
+    schema = "a int, b string, c int"
+    rows, committed = spark.createDataFrame(new, schema), spark.createDataFrame(old, schema)
+    got = sorted(map(tuple, uncommitted(rows, committed, ["a", "b", "c"]).collect()), key=str)
+    want = [(i, None if i % 3 else "x", i % 7) for i in range(3000, 4500)] + [(1, None, 1), (None, None, None), (None, None, None)]
+    assert got == sorted(want, key=str)
+    assert uncommitted(rows, committed.limit(0), ["a", "b", "c"]).count() == len(new)
+    bits, buckets = seen_filter(committed, ["a", "b", "c"])
+    assert buckets == 2 and bits.count() == 2
+
+
 def test_failed_table_does_not_stop_others(spark, lake):
     job = ingest.Ingestion(lake, "core", {n: SOURCES[n] for n in (PRODUCTOS, CLIENTES)})
 
@@ -188,10 +232,22 @@ def test_text_files_of_other_writers(spark, tmp_path):
 
 
 def test_jdbc_conditions():
-    parts = jdbc.split_predicates("id_mov", 3, jdbc.newer_than("fec_mov", date(2025, 1, 2)))
-    assert parts[0] == "((hashtext(id_mov) & 2147483647) % 3 = 0 OR id_mov IS NULL) AND fec_mov > DATE '2025-01-02'"
-    assert parts[2] == "(hashtext(id_mov) & 2147483647) % 3 = 2 AND fec_mov > DATE '2025-01-02'"
+    parts = jdbc.part_predicates([Part((Bounds("id_mov", None, "M'2"),), 1), Part((Bounds("id_mov", "M'2"), Bounds("fec_mov", missing=True)), 1)],
+                                 jdbc.newer_than("fec_mov", date(2025, 1, 2)))
+    assert parts[0] == "(id_mov COLLATE \"C\" < 'M''2') AND fec_mov > DATE '2025-01-02'"
+    assert parts[1] == "(id_mov COLLATE \"C\" >= 'M''2' AND fec_mov IS NULL) AND fec_mov > DATE '2025-01-02'"
     assert jdbc.newer_than("fec_mov", None) is None
+    assert jdbc.sketch_query(SOURCES[CLIENTES], ["id_cli"], None, 100) == "(SELECT id_cli FROM tb_clientes_core) sketch"
+    assert jdbc.sketch_query(SOURCES[COMISIONES], ["fec_cobro", "id_comision"], "fec_cobro > DATE '2025-01-02'") == (
+        "(SELECT fec_cobro, id_comision FROM tb_comisiones_log TABLESAMPLE SYSTEM (1) REPEATABLE (7) "
+        "WHERE fec_cobro > DATE '2025-01-02') sketch")
+
+
+def test_bulk_load_rows(spark):
+    rows = spark.createDataFrame([("P1", "", "x", "1.5", None, "", "0", "")], ", ".join(f"{c} string" for c in SOURCES[PRODUCTOS].columns))
+    got = jdbc.as_declared(rows.withColumn("cuota_min", F.lit(None).cast("string")), SOURCES[PRODUCTOS])
+    assert got.schema.simpleString() == SOURCES[PRODUCTOS].schema.simpleString()
+    assert tuple(got.first()) == ("P1", None, "x", D("1.50"), None, None, D("0.00"), None)
 
 
 def test_snapshot_reruns(spark, lake):
