@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from cauce.operators import faults
 from cauce.operators.faults import Damaged
 from cauce.schemas import COMISIONES, MOVIMIENTOS, OBLIGACIONES
-from cauce.sources.lake import write_model
+from cauce.sources.lake import read_model, write_model
 
 # Share of rows per defect.
 DUPLICATES, BAD_DATES, ORPHANS, INCONSISTENT = 0.003, 0.002, 0.0015, 0.002
@@ -36,7 +36,7 @@ def inject_all(sources: Mapping[str, DataFrame], last: date, seed: str, folder:
         written = []
         for part, df in (("table", result.table), ("log", result.log)):
             write_model(df, f"{folder}/{name}/{part}")
-            written.append(df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}/{part}"))
+            written.append(read_model(df.sparkSession, f"{folder}/{name}/{part}"))
         tables[table] = written[0]
         logs.append(written[1])
 

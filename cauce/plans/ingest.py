@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cauce.operators.late import uncommitted
 from cauce.plans import monitor
 from cauce.schemas import SOURCES, SourceTable
-from cauce.sources.lake import PARTITIONS, Lake, write_model
+from cauce.sources.lake import PARTITIONS, Lake, read_model, write_model
 
 RUN_LOG_SCHEMA = (
     "batch_id string, started_at string, finished_at string, success boolean, "
@@ -258,18 +258,28 @@ def batch_rows(lake: Lake, table: SourceTable, run_log: DataFrame) -> DataFrame
     return committed_rows(lake, table, logged)
 
 
-def raw_rows(lake: Lake, table: SourceTable) -> DataFrame:
+def missing_tables(lake: Lake) -> list[str]:
+    """Source tables that no run has ingested and nobody has copied, by name."""
+    log = read_run_log(lake)
+    seen = {r["tabla"] for r in flat_run_log(log).select("tabla").distinct().collect()} if log is not None else set()
+    return sorted(n for n, t in SOURCES.items() if n not in seen and not lake.exists(lake.raw_path(t)))
+
+
+def raw_rows(lake: Lake, table: SourceTable, if_missing: str = "raise") -> DataFrame:
     """The raw table: as it was last copied, or else straight from its Bronze batches.
 
-    Bronze is columnar already, so the copy is not needed; without it nothing is written twice.
+    Bronze is columnar already, so the copy is not needed; without it nothing is written twice. A table that was never ingested is an
+    error, or with ``if_missing="empty"`` has no rows.
     """
     if lake.exists(lake.raw_path(table)):
-        copied = lake.spark.read.schema(table.bronze_schema).parquet(lake.raw_path(table))
+        copied = read_model(lake.spark, lake.raw_path(table), table.bronze_schema)
         return copied.select(*table.bronze_schema.names)
     log = read_run_log(lake)
     rows = batch_rows(lake, table, log) if log is not None else None
     if rows is None and log is not None and not flat_run_log(log).where(F.col("tabla") == table.name).isEmpty():
         return lake.spark.createDataFrame([], table.bronze_schema)  # ingested, but empty so far
+    if rows is None and if_missing == "empty":
+        return lake.spark.createDataFrame([], table.bronze_schema)
     if rows is None:
         raise LookupError(f"{table.name} was never ingested")
     return rows

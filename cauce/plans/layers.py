@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cauce.context import RunContext
 from cauce.operators.checks import Accepted, NoRows, NotNull, Related, Test, Unique, run_tests
 from cauce.plans import gold, monitor, quality, rejects, silver
-from cauce.plans.ingest import Ingestion, Reader, load_raw, raw_rows
+from cauce.plans.ingest import Ingestion, Reader, load_raw, missing_tables, raw_rows
 from cauce.schemas import CLIENTES, COMISIONES, MOVIMIENTOS, OBLIGACIONES, PRODUCTOS, SOURCES, SUCURSALES
 from cauce.sources.lake import Lake, Layout, merge_snapshot, write_model
 
@@ -148,7 +148,7 @@ class Warehouse:
 
     @cached_property
     def raw(self) -> Mapping[str, DataFrame]:
-        return {name: raw_rows(self.lake, table) for name, table in SOURCES.items()}
+        return {name: raw_rows(self.lake, table, if_missing="empty") for name, table in SOURCES.items()}
 
     def __getitem__(self, model: str) -> DataFrame:
         return self.lake.read(MODELS[model].target_layer, model)
@@ -197,6 +197,9 @@ def run_pipeline(
     warehouse = Warehouse(lake, ctx)
 
     def silver_stage() -> None:
+        # a source table that has not come keeps the run alive: it has no rows, and an event says so
+        for name in missing_tables(lake):
+            monitor.append_event(lake, monitor.NO_DATA, datetime.now(timezone.utc).isoformat(), table=name, status="sin_datos")
         for table in SOURCES.values() if copy_raw else ():
             load_raw(ingestion, table)
         warehouse.run_layer("silver")

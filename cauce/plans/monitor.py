@@ -17,6 +17,7 @@ if TYPE_CHECKING:
 # The volume rule and the event names.
 HISTORY_RUNS, MIN_VALUES, MAX_CHANGE_PERCENT = 7, 3, 30
 VOLUME_ANOMALY, SUCCESS_SUMMARY, TASK_FAILURE = "VOLUME_ANOMALY", "PIPELINE_SUCCESS_SUMMARY", "TASK_FAILURE"
+NO_DATA = "NO_DATA"
 
 VOLUME_SCHEMA = "batch_id string, started_at string, tabla string, rows bigint"
 EVENT_SCHEMA = "event_type string, created_at string, details map<string, string>"

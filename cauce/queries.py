@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from dataclasses import replace
 from datetime import date, datetime, timedelta
 from functools import cached_property, reduce
@@ -324,6 +325,67 @@ def after_a_dead_run(t: Tables, name: str) -> DataFrame:
     return ingest.raw_rows(ingestion.lake, table).select(*table.columns)
 
 
+def empty_batches(t: Tables) -> DataFrame:
+    """The fees, and a run that finds none after them: it is logged, but has no folder."""
+    ingestion = ingest.Ingestion(t.lake("empty"), SOURCE_SYSTEM, {COMISIONES: SOURCES[COMISIONES]})
+    for number in range(2):
+        ingestion.run(lambda table, _last: t.source(table.name), f"b{number}", INGESTED_AT[number])
+    return ingest.flat_run_log(ingestion.run_log()).select(
+        "batch_id", F.col("rows").alias("filas"), F.col("path").isNotNull().alias("escrita"))
+
+
+def isolated_failure(t: Tables) -> DataFrame:
+    """A run in which one table fails: the others are committed, the run log has the error."""
+    ingestion = ingest.Ingestion(t.lake("failing"), SOURCE_SYSTEM, {n: SOURCES[n] for n in (CLIENTES, OBLIGACIONES, PRODUCTOS)})
+
+    def read(table, _last):
+        if table.name == OBLIGACIONES:
+            raise OSError("connection lost")
+        return t.source(table.name)
+
+    with suppress(ingest.IngestionFailed):
+        ingestion.run(read, "b0", INGESTED_AT[0])
+    log = ingestion.run_log()
+    failed = log.select(F.explode("errors").alias("e")).select("e.table", "e.error", F.lit(None).cast("bigint").alias("filas"))
+    done = ingest.flat_run_log(log).select("tabla", F.lit("ok").alias("estado"), F.col("rows").alias("filas"))
+    return done.unionByName(failed.toDF("tabla", "estado", "filas"))
+
+
+def truncate_and_load(t: Tables) -> DataFrame:
+    """Raw tables loaded twice hold their rows once; a table that was never ingested says so and stays away."""
+    ingestion = three_runs(t, SUCURSALES, COMISIONES)
+    lines = []
+    for name in (SUCURSALES, COMISIONES, PRODUCTOS):
+        table = SOURCES[name]
+        for _ in range(2):
+            result = ingest.load_raw(ingestion, table)
+        state = F.lit(result["status"]).alias("estado")
+        if result["path"]:
+            key = F.sum(F.length(table.key)).alias("largo_clave")
+            lines.append(ingest.raw_rows(ingestion.lake, table).agg(F.count(F.lit(1)).alias("filas"), key).select(
+                F.lit(name).alias("tabla"), state, "filas", "largo_clave"))
+        else:
+            none = F.lit(None).cast("bigint")
+            lines.append(t.spark.range(1).select(F.lit(name).alias("tabla"), state, none.alias("filas"), none.alias("largo_clave")))
+    return reduce(DataFrame.unionByName, lines)
+
+
+def all_formats(t: Tables) -> DataFrame:
+    """The branches through every file format, and what an unknown one is answered."""
+    table, parts = SOURCES[SUCURSALES], []
+    for file_format in ("csv", "json", "parquet"):
+        path = shared_folder(t.spark, file_format)
+        files.write_table(t.source(SUCURSALES), path, table, file_format)
+        parts.append(files.read_table(t.spark, path, table, file_format).select(F.lit(file_format).alias("formato"), "*"))
+    try:
+        files.read_table(t.spark, path, table, "xml")
+    except ValueError as error:
+        refused = t.spark.createDataFrame([(str(error),)], "cod_suc string").select(
+            F.lit("xml").alias("formato"), "cod_suc", *(F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema if f.name != "cod_suc"))
+        parts.append(refused)
+    return reduce(DataFrame.unionByName, parts)
+
+
 def ranged_extract(t: Tables, parts: int = 8) -> DataFrame:
     """The movements by ranges of date and id, each a scan of its own, and whether the row's part keeps within twice its share."""
     table, path = SOURCES[MOVIMIENTOS], shared_folder(t.spark, "ranges")
@@ -381,6 +443,20 @@ register("bronze_next_watermark", next_watermarks,
                             f"WHERE {c} > DATE '2024-12-31'"
                             for n, c, s in ((MOVIMIENTOS, "fec_mov", "mov"), (COMISIONES, "fec_cobro", "com"))))
 register("bronze_recovery", lambda t: after_a_dead_run(t, COMISIONES), "FROM src_com", "vr_comision")
+register("bronze_empty_batch", empty_batches,
+         "SELECT 'b0' AS batch_id, count(*) AS filas, TRUE AS escrita FROM src_com UNION ALL SELECT 'b1', 0, FALSE")
+register("bronze_failure_isolation", isolated_failure,
+         " UNION ALL ".join(f"SELECT '{n}' AS tabla, 'ok' AS estado, count(*) AS filas FROM src_{oracle.SHORT[n]}" for n in (CLIENTES, PRODUCTOS))
+         + f" UNION ALL SELECT '{OBLIGACIONES}', 'connection lost', NULL")
+register("raw_truncate_load", truncate_and_load,
+         " UNION ALL ".join(f"SELECT '{n}' AS tabla, 'ok' AS estado, count(*) AS filas, sum(length({SOURCES[n].key}))::BIGINT AS largo_clave "
+                            f"FROM src_{oracle.SHORT[n]}" for n in (SUCURSALES, COMISIONES))
+         + f" UNION ALL SELECT '{PRODUCTOS}', 'sin_datos', NULL, NULL")
+register("source_parquet_roundtrip", lambda t: round_trip(t, OBLIGACIONES), "FROM src_obl",
+         "vr_aprobado vr_desembolsado sdo_capital vr_cuota")
+register("source_format_dispatch", all_formats,
+         " UNION ALL ".join(f"SELECT '{f}' AS formato, * FROM src_suc" for f in ("csv", "json", "parquet"))
+         + " UNION ALL SELECT 'xml', 'unsupported format: xml', NULL, NULL, NULL, NULL, NULL, NULL, NULL", "latitud longitud")
 register("extract_ranges", ranged_extract, "SELECT *, TRUE AS parte_acotada FROM src_mov", "vr_mov")
 register("late_rows", late_rows, "FROM src_mov", "vr_mov")
 register("bronze_audit_columns",
@@ -541,6 +617,53 @@ register(
                {oracle.half_up_pct('abs(rows * k - total)', 'total')} AS pct_diff
         FROM volume_means WHERE k >= 3 AND abs(rows * k - total) * 10 > total * 3""",
 )
+
+
+def logged_volume_events(t: Tables) -> DataFrame:
+    """The events that ingestion itself has written: the fees of five months, the last of them halved."""
+    ingestion = ingest.Ingestion(t.lake("volumes"), SOURCE_SYSTEM, {COMISIONES: SOURCES[COMISIONES]})
+    rows, first = t.source(COMISIONES), date(2024, 1, 1)
+    for number in range(5):
+        start, end = (date(first.year, 1 + n, 1) for n in (number, number + 1))
+        month = rows.where((F.col("fec_cobro") >= F.lit(start)) & (F.col("fec_cobro") < F.lit(end)))
+        if number == 4:
+            month = month.where(F.substring("id_comision", -1, 1).isin("0", "1", "2", "3"))
+        ingestion.run(lambda *_, month=month: month, f"b{number}", datetime.fromisoformat(f"{start}T02:00:00+00:00"))
+    events = t.spark.read.schema(monitor.EVENT_SCHEMA).parquet(ingestion.lake.path("ops", "pipeline_events"))
+    return events.select("event_type", "created_at", *(F.col("details")[c].alias(c) for c in ("table", "current_rows", "avg_last_7_runs", "pct_diff")))
+
+
+def failed_stage_event(t: Tables) -> DataFrame:
+    """What a daily run leaves that fails in Bronze: the event, and how many rows the other tables have committed."""
+    ingestion = ingest.Ingestion(t.lake("failed"), SOURCE_SYSTEM, {n: SOURCES[n] for n in (PRODUCTOS, SUCURSALES)})
+
+    def read(table, _last):
+        if table.name == SUCURSALES:
+            raise OSError("connection lost")
+        return t.source(table.name)
+
+    with suppress(ingest.IngestionFailed):
+        layers.run_pipeline(ingestion, read, CONTEXT)
+    events = t.spark.read.schema(monitor.EVENT_SCHEMA).parquet(ingestion.lake.path("ops", "pipeline_events"))
+    committed = ingest.raw_rows(ingestion.lake, SOURCES[PRODUCTOS]).count()
+    return events.select("event_type", F.col("details")["task_name"].alias("etapa"),
+                         F.col("details")["error_message"].contains(SUCURSALES).alias("nombra_la_tabla"),
+                         F.lit(committed).cast("bigint").alias("filas_confirmadas"))
+
+
+_MONTHS = " UNION ALL ".join(
+    f"SELECT {n} AS n, count(*) AS filas FROM src_com WHERE fec_cobro >= DATE '2024-01-01' + INTERVAL {n} MONTH "
+    f"AND fec_cobro < DATE '2024-01-01' + INTERVAL {n + 1} MONTH"
+    + (" AND right(id_comision, 1) IN ('0', '1', '2', '3')" if n == 4 else "") for n in range(5))
+register("volume_events", logged_volume_events, f"""
+    FROM (WITH m AS ({_MONTHS}),
+    p AS (SELECT m.n, m.filas, count(o.filas) AS k, sum(o.filas) AS total FROM m JOIN m o ON o.n < m.n GROUP BY ALL)
+    SELECT 'VOLUME_ANOMALY' AS event_type, '2024-0' || (n + 1) || '-01T02:00:00+00:00' AS created_at, '{COMISIONES}' AS "table",
+           filas::VARCHAR AS current_rows, printf('%.2f', {oracle.half_up('total', 'k')}) AS avg_last_7_runs,
+           printf('%.2f', {oracle.half_up_pct('abs(filas * k - total)', 'total')}) AS pct_diff
+    FROM p WHERE filas > 0 AND k >= 3 AND total > 0 AND abs(filas * k - total) * 10 > total * 3)""")
+register("failure_event", failed_stage_event,
+         "SELECT 'TASK_FAILURE' AS event_type, 'bronze' AS etapa, TRUE AS nombra_la_tabla, count(*) AS filas_confirmadas FROM src_prod")
 register("pipeline_summary", lambda t: monitor.pipeline_summary(t.movimientos, t.transacciones, t.cartera, t.errores),
          "SELECT (SELECT count(*) FROM t_mov) AS silver_movimientos, (SELECT count(*) FROM f_mov) AS gold_transacciones,"
          " (SELECT count(*) FROM f_obl) AS gold_cartera, (SELECT count(*) FROM rejects) AS quality_errors")

@@ -177,16 +177,6 @@ def _geography(read: Callable[[str], DataFrame]) -> DataFrame:
     return read("nation").join(read("region"), F.expr("n_regionkey = r_regionkey"))
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Deal the rows out to all cores when the scan has fewer splits than there are cores.
-
-    A table of a few megabytes is one Parquet row group and hence one task, whatever follows it. A
-    table with enough splits is returned as it is: no shuffle is added at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _repeated_lines(lines: DataFrame) -> DataFrame:
     """Every line once, and the lines of each 333rd order a second time."""
     copies = F.when(F.expr("l_orderkey % 333 = 0"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
@@ -206,11 +196,12 @@ def source_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     elif name == SUCURSALES:
         base = read("supplier").join(_geography(read), F.expr("s_nationkey = n_nationkey"))
     elif name == MOVIMIENTOS:
-        lines = _spread(read("lineitem").select(*LINE_COLUMNS))
-        orders = read("orders").select("o_orderkey", "o_custkey")
+        lines = read("lineitem").select(*LINE_COLUMNS)
+        # both sides are large: shuffled by order at every size, which also deals the rows of a small file out to all cores
+        orders = read("orders").select("o_orderkey", "o_custkey").hint("merge")
         base = _repeated_lines(lines.join(orders, F.expr("l_orderkey = o_orderkey")))
     else:
-        base = _spread(read("orders").select(*ORDER_COLUMNS))
+        base = read("orders").select(*ORDER_COLUMNS).repartition("o_orderkey")
     return base.selectExpr(*(f"{e} as {c}" for c, e in EXPRESSIONS[name]))
 
 

@@ -15,6 +15,7 @@ from cauce.schemas import SourceTable
 
 PARTITIONS = ("year", "month", "day", "batch_id")
 SCHEMA_FILE = "_schema.json"
+POINTERS = "_pointers"
 
 
 @dataclass(frozen=True)
@@ -51,6 +52,10 @@ class Lake:
         files, file = self._folder(path)
         files.create(file, True).close()
 
+    def remove(self, path: str) -> None:
+        files, folder = self._folder(path)
+        files.delete(folder, True)
+
     def size_of(self, path: str) -> int:
         files, folder = self._folder(path)
         return files.getContentSummary(folder).getLength()
@@ -63,16 +68,28 @@ class Lake:
 
     def read(self, layer: str, name: str) -> DataFrame:
         """A stored table; with the schema that it was written with, so that an empty one can be read too."""
-        path = self.path(layer, name)
-        files, schema_file = self._folder(f"{path}/{SCHEMA_FILE}")
-        if not files.exists(schema_file):
-            return self.spark.read.parquet(path)
+        return read_model(self.spark, self.path(layer, name))
+
+
+def _versions(lake: Lake, path: str) -> list[str]:
+    """Names of the table's complete versions, the newest last: what its pointers name."""
+    return [name.split("-", 1)[1] for name in sorted(lake.names(f"{path}/{POINTERS}"))]
+
+
+def read_model(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The newest complete version of a table that ``write_model`` has written, or the files of a plain folder."""
+    lake = Lake(spark, path)
+    versions = _versions(lake, path)
+    folder = f"{path}/v-{versions[-1]}" if versions else path
+    files, schema_file = lake._folder(f"{folder}/{SCHEMA_FILE}")
+    if schema is None and files.exists(schema_file):
         stream = files.open(schema_file)
         try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return self.spark.read.schema(T.StructType.fromJson(json.loads(text))).parquet(path)
+        schema = T.StructType.fromJson(json.loads(text))
+    return (spark.read.schema(schema) if schema else spark.read).parquet(folder)
 
 
 @dataclass(frozen=True)
@@ -84,7 +101,12 @@ class Layout:
 
 
 def write_model(df: DataFrame, path: str, layout: Layout | None = None) -> None:
-    """Replace a table: written beside the old one, which stays until the new one is complete.
+    """Replace a table: a new version is written beside the old one and becomes the table with its pointer.
+
+    A pointer is an empty file whose name has a number and the version; the highest number counts. Creating it is one
+    step on every store, and nothing is renamed or copied: readers see the old version or the new one, never none, and a
+    writer that dies leaves the old one. The version before stays for readers that have begun with it; older ones, and
+    what dead writers have left, are deleted. A table has one writer at a time.
 
     With a layout, rows are rebalanced by the partition column: adaptive execution merges small
     partitions into one task and splits one that is too large, so a date with a third of all rows
@@ -93,22 +115,22 @@ def write_model(df: DataFrame, path: str, layout: Layout | None = None) -> None:
     writer_input = df
     if layout:
         writer_input = df.hint("rebalance", layout.partition).sortWithinPartitions(layout.partition, *layout.cluster)
-    mark = uuid.uuid4().hex[:12]
-    new, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
+    lake, mark = Lake(df.sparkSession, path), uuid.uuid4().hex[:12]
+    new = f"{path}/v-{mark}"
     writer = writer_input.write
     (writer.partitionBy(layout.partition) if layout else writer).parquet(new)
-    hadoop = df.sparkSession._jvm.org.apache.hadoop.fs
-    target, fresh, replaced = hadoop.Path(path), hadoop.Path(new), hadoop.Path(old)
-    files = target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
-    schema_file = files.create(hadoop.Path(f"{new}/{SCHEMA_FILE}"))
+    files, schema_path = lake._folder(f"{new}/{SCHEMA_FILE}")
+    schema_file = files.create(schema_path)
     schema_file.write(bytearray(df.schema.json().encode()))
     schema_file.close()
-    if files.exists(target) and not files.rename(target, replaced):
-        raise OSError(f"cannot replace {path}")
-    if not files.rename(fresh, target):
-        files.rename(replaced, target)
-        raise OSError(f"cannot put {new} in place of {path}")
-    files.delete(replaced, True)
+    pointers = sorted(lake.names(f"{path}/{POINTERS}"))
+    number = int(pointers[-1].split("-", 1)[0]) + 1 if pointers else 1
+    lake.mark(f"{path}/{POINTERS}/{number:012d}-{mark}")
+    kept = {f"v-{mark}", *(f"v-{p.split('-', 1)[1]}" for p in pointers[-1:])}
+    for name in {n for n in lake.names(path) if n.startswith("v-")} - kept:
+        lake.remove(f"{path}/{name}")
+    for name in pointers[:-1]:
+        lake.remove(f"{path}/{POINTERS}/{name}")
 
 
 def merge_snapshot(lake: Lake, new: DataFrame, path: str, day: str, keys: Sequence[str], staging: str) -> None:

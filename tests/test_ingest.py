@@ -13,9 +13,9 @@ from cauce.schemas import CLIENTES, COMISIONES, MOVIMIENTOS, PRODUCTOS, SOURCES
 from cauce.operators.late import seen_filter, uncommitted
 from cauce.operators.ranges import Bounds, Part
 from cauce.sources import files, jdbc
-from cauce.sources.lake import Lake, Layout, merge_snapshot, write_model
+from cauce.sources.lake import Lake, Layout, merge_snapshot, read_model, write_model
 from cauce.streaming.raw_feed import append_new_batches
-from tests.frames import raw
+from tests.frames import DEFAULTS, raw
 
 AT = [datetime(2025, 1, 9, 1 + h, tzinfo=timezone.utc) for h in range(5)]
 
@@ -141,11 +141,23 @@ def test_source_that_is_empty_from_the_start(spark, lake):
     table = SOURCES[MOVIMIENTOS]
     with pytest.raises(LookupError):
         ingest.raw_rows(lake, table)
+    assert ingest.raw_rows(lake, table, if_missing="empty").isEmpty() and ingest.missing_tables(lake) == sorted(SOURCES)
     ingest.Ingestion(lake, "core", {MOVIMIENTOS: table}).run(lambda t, last: movements(spark), "b0", AT[0])
+    assert MOVIMIENTOS not in ingest.missing_tables(lake)
     rows = ingest.raw_rows(lake, table)
     assert rows.isEmpty() and rows.columns == table.bronze_schema.names
 
 
+def test_a_source_that_never_came_keeps_the_run_alive(spark, lake, ctx):
+    tables = {n: t for n, t in SOURCES.items() if n != COMISIONES}
+    job = ingest.Ingestion(lake, "core", tables)
+    warehouse = layers.run_pipeline(job, lambda table, last: table.project(raw(spark, table.name, {})) if table.name in DEFAULTS
+                                    else spark.createDataFrame([], table.schema), ctx)
+    assert warehouse["stg_comisiones"].isEmpty() and warehouse["fact_rentabilidad_cliente"].count() == 1
+    events = lake.read("ops", "pipeline_events").where("event_type = 'NO_DATA'").collect()
+    assert [r["details"] for r in events] == [{"table": COMISIONES, "status": "sin_datos"}]
+
+
 def test_feed_that_overlaps_a_run(spark, lake):
     """A batch whose files the feed could see before the run was logged still comes in."""
     table = SOURCES[MOVIMIENTOS]
@@ -167,7 +179,7 @@ def test_full_table_takes_newest_batch(spark, lake):
     for n, ids in enumerate((["a", "b"], ["a"])):
         job.run(lambda t, last, ids=ids: table.project(raw(spark, CLIENTES, *[{"id_cli": i} for i in ids])), f"b{n}", AT[n])
         ingest.load_raw(job, table)
-    rows = spark.read.parquet(lake.raw_path(table)).collect()
+    rows = read_model(spark, lake.raw_path(table)).collect()
     assert [(r["id_cli"], r["batch_id"]) for r in rows] == [("a", "b1")]
 
 
@@ -193,7 +205,7 @@ def test_streaming_feed_equals_rebuild(spark, lake, tmp_path):
     streamed = ingest.raw_rows(lake, table)
     rebuilt = ingest.batch_rows(lake, table, job.run_log())
     write_model(rebuilt, other.raw_path(table))
-    stored = spark.read.schema(table.bronze_schema).parquet(other.raw_path(table))
+    stored = read_model(spark, other.raw_path(table), table.bronze_schema)
     assert streamed.count() == 3 and streamed.exceptAll(stored).isEmpty() and stored.exceptAll(streamed).isEmpty()
     with pytest.raises(ValueError):
         append_new_batches(lake, SOURCES[CLIENTES])
@@ -275,7 +287,7 @@ def test_layout_splits_a_hot_date(spark, lake):
         write_model(rows, lake.path("gold", "t"), Layout("day", ("id",)))
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    stored = spark.read.parquet(lake.path("gold", "t"))
+    stored = lake.read("gold", "t")
     hot_files = stored.where("day = 20250101").select("_metadata.file_path").distinct().count()
     assert stored.count() == 4000 and hot_files > 1
 
@@ -290,6 +302,30 @@ def test_failed_rebuild_keeps_the_table(spark, lake):
     assert lake.read("gold", "t").count() == 2
 
 
+def test_readers_see_whole_versions(spark, lake, monkeypatch):
+    """A reader that has begun goes on with its version; a writer that dies anywhere leaves the old one; nothing is renamed."""
+    path = lake.path("gold", "t")
+    write_model(spark.range(3), path)
+    before = lake.read("gold", "t")
+    write_model(spark.range(4), path)
+    assert before.count() == 3 and lake.read("gold", "t").count() == 4
+    for step in ("mark", "names"):  # before the pointer is there
+        with monkeypatch.context() as broken:
+            broken.setattr(Lake, step, lambda *a, **k: (_ for _ in ()).throw(OSError("store is down")))
+            with pytest.raises(OSError):
+                write_model(spark.range(9), path)
+        assert lake.read("gold", "t").count() == 4
+    with monkeypatch.context() as broken:  # after it: the new version counts, though nothing was cleaned up
+        broken.setattr(Lake, "remove", lambda *a, **k: (_ for _ in ()).throw(OSError("store is down")))
+        with pytest.raises(OSError):
+            write_model(spark.range(5), path)
+    assert lake.read("gold", "t").count() == 5
+    for n in (6, 7):
+        write_model(spark.range(n), path)
+    assert lake.read("gold", "t").count() == 7 and len([x for x in lake.names(path) if x.startswith("v-")]) == 2
+    assert len(lake.names(f"{path}/_pointers")) == 2
+
+
 def test_empty_partitioned_table_can_be_read(spark, lake):
     write_model(spark.createDataFrame([], "v int, day date"), lake.path("gold", "e"), Layout("day", ("v",)))
     back = lake.read("gold", "e")
