@@ -33,12 +33,36 @@ class Damaged:
     log: DataFrame
 
 
-def _between(low: int, high: int, start: int) -> Column:
+def _between(low: int, high: int, start: int, digest: str = "_digest") -> Column:
     """A number from low to high taken from the row's digest."""
-    return (F.lit(low) + digest_number(F.col("_digest"), start) % (high - low + 1)).cast("int")
+    return (F.lit(low) + digest_number(F.col(digest), start) % (high - low + 1)).cast("int")
 
 
-def _log(picked: DataFrame, table: str, key: str, kind: str, reason: Column) -> DataFrame:
+def shifted_date(rank: Column, size: int, last: date, digest: str = "_digest") -> Column:
+    """Past the loading window in the first half of the sample, before the founding in the rest."""
+    return F.when(rank <= size // 2, F.date_add(F.lit(last), _between(*FUTURE_DAYS, 9, digest))).otherwise(
+        F.date_sub(F.lit(FOUNDED), _between(*PAST_DAYS, 17, digest)))
+
+
+def date_reason(rank: Column, size: int, column: str) -> Column:
+    return F.when(rank <= size // 2, FUTURE_REASON.format(column)).otherwise(PAST_REASON.format(column))
+
+
+def orphan_key(rank: Column) -> Column:
+    """One of a series of client numbers that no client has."""
+    return F.concat(F.lit(ORPHAN_PREFIX), (rank - 1 + FIRST_ORPHAN).cast("string"))
+
+
+def orphan_reason(rank: Column, column: str) -> Column:
+    return F.concat(F.lit(f"{column}="), orphan_key(rank), F.lit(" no existe en TB_CLIENTES_CORE"))
+
+
+def inflated(approved: str, digest: str = "_digest") -> Column:
+    percent = _between(*INFLATION_PERCENT, 9, digest).cast("decimal(3,0)")
+    return F.round(F.col(approved) * percent / 100, 2)
+
+
+def log_lines(picked: DataFrame, table: str, key: str, kind: str, reason: Column) -> DataFrame:
     return picked.select(
         F.lit(table).alias("tabla"), F.col(key).alias("id_registro"), F.lit(kind).alias("tipo_anomalia"),
         reason.alias("motivo"),
@@ -56,7 +80,7 @@ def _changed(sample: Sample, column: str, value: Column) -> DataFrame:
 def repeat_rows(df: DataFrame, share: float, table: str, key: str, seed: str) -> Damaged:
     sample = exact_sample(df, share, seed)
     table_out = df.unionByName(sample.picked.select(*df.columns))
-    return Damaged(table_out, _log(sample.picked, table, key, DUPLICATE, F.lit(DUPLICATE_REASON)))
+    return Damaged(table_out, log_lines(sample.picked, table, key, DUPLICATE, F.lit(DUPLICATE_REASON)))
 
 
 def shift_dates(
@@ -64,26 +88,21 @@ def shift_dates(
 ) -> Damaged:
     """The first half of the sample moves past the loading window, the rest before the founding."""
     sample = exact_sample(df, share, seed)
-    future = F.col("_rank") <= sample.size // 2
-    moved = F.when(future, F.date_add(F.lit(last), _between(*FUTURE_DAYS, 9))).otherwise(
-        F.date_sub(F.lit(FOUNDED), _between(*PAST_DAYS, 17))
-    )
-    reason = F.when(future, FUTURE_REASON.format(column)).otherwise(PAST_REASON.format(column))
-    return Damaged(_changed(sample, column, moved), _log(sample.picked, table, key, BAD_DATE, reason))
+    rank = F.col("_rank")
+    moved, reason = shifted_date(rank, sample.size, last), date_reason(rank, sample.size, column)
+    return Damaged(_changed(sample, column, moved), log_lines(sample.picked, table, key, BAD_DATE, reason))
 
 
 def orphan_keys(df: DataFrame, share: float, column: str, table: str, key: str, seed: str) -> Damaged:
     """The key becomes one of a series of client numbers that no client has."""
     sample = exact_sample(df, share, seed)
-    number = (F.col("_rank") - 1 + FIRST_ORPHAN).cast("string")
-    unknown = F.concat(F.lit(ORPHAN_PREFIX), number)
-    reason = F.concat(F.lit(f"{column}="), unknown, F.lit(" no existe en TB_CLIENTES_CORE"))
-    return Damaged(_changed(sample, column, unknown), _log(sample.picked, table, key, ORPHAN, reason))
+    unknown, reason = orphan_key(F.col("_rank")), orphan_reason(F.col("_rank"), column)
+    return Damaged(_changed(sample, column, unknown), log_lines(sample.picked, table, key, ORPHAN, reason))
 
 
 def flip_signs(df: DataFrame, share: float, column: str, table: str, key: str, seed: str) -> Damaged:
     sample = exact_sample(df, share, seed)
-    log = _log(sample.picked, table, key, INCONSISTENT, F.lit(SIGN_REASON))
+    log = log_lines(sample.picked, table, key, INCONSISTENT, F.lit(SIGN_REASON))
     return Damaged(_changed(sample, column, -F.abs(column)), log)
 
 
@@ -91,10 +110,8 @@ def inflate_balances(
     df: DataFrame, share: float, column: str, approved: str, table: str, key: str, seed: str
 ) -> Damaged:
     sample = exact_sample(df, share, seed)
-    percent = _between(*INFLATION_PERCENT, 9).cast("decimal(3,0)")
-    inflated = F.round(F.col(approved) * percent / 100, 2)
-    log = _log(sample.picked, table, key, INCONSISTENT, F.lit(BALANCE_REASON))
-    return Damaged(_changed(sample, column, inflated), log)
+    log = log_lines(sample.picked, table, key, INCONSISTENT, F.lit(BALANCE_REASON))
+    return Damaged(_changed(sample, column, inflated(approved)), log)
 
 
 def blank_values(df: DataFrame, share: float, columns: list[str], seed: str) -> DataFrame:

@@ -48,6 +48,9 @@ MOVEMENT_KEY = (
 TRAILING_DAYS = 30
 
 
+# Names and order of the columns in the select lists below, which are the tables' contract.
+
+
 def stg_clientes(clientes: DataFrame, ctx: RunContext) -> DataFrame:
     clean = apply_null_rules(distinct_rows(clientes), NULL_RULES[CLIENTES])
     hashed = {f"{c}_hash": masking.masked(F.col(c), ctx.pii_salt) for c in ("nomb_cli", "apell_cli", "num_doc")}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from datetime import date
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from cauce.operators import faults, sampling
 from cauce.operators.sampling import exact_sample
 from cauce.plans import rejects, silver
-from cauce.plans.fault_run import inject_all
+from cauce.plans.fault_run import inject, inject_all
 from cauce.plans.ingest import with_audit
 from cauce.queries import Tables
 from cauce.schemas import CLIENTES, COMISIONES, MOVIMIENTOS, OBLIGACIONES, PRODUCTOS
@@ -57,6 +58,39 @@ def test_sample_does_not_depend_on_partitions(spark):
     assert picks[0] == picks[1] and len(picks[0]) == 100
 
 
+def sample_by_sorting(rows, columns, seed, size):
+    """(rank, row) of the lowest digests of row and seed."""
+    def digest(row):
+        return hashlib.md5("|".join(["" if row[c] is None else str(row[c]) for c in columns] + [seed]).encode()).hexdigest()
+    return sorted(((digest(r), str(tuple(r.values())), r) for r in rows), key=lambda x: x[:2])[:size]
+
+
+@pytest.mark.parametrize("hot", [0, 700])
+def test_several_samples_in_two_reads(spark, tmp_path, monkeypatch, hot):
+    """Each sample equals sorting the whole table; together with the rest they are the table; short first guesses are mended."""
+    monkeypatch.setattr(sampling, "COPIES_PER_TASK_ROW", 100)
+    rows = [{"k": None if i < hot else f"k{i}", "v": 1 if i < hot else i} for i in range(2000)]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], "k string, v int").repartition(4)
+    shares = {"a": 0.01, "b": 0.3, "c": 0.0, "d": 0.002}
+    sizes = lambda n: {x: int(n * s) * (100 if x == "d" else 1) for x, s in shares.items()}  # noqa: E731 - d takes far more than its share
+    found = sampling.ranked_samples(df, shares, {x: f"s{x}" for x in shares}, sizes, str(tmp_path / "near"))
+    assert found.sizes == sizes(2000)
+    for x in shares:
+        got = found.picked(x).select("k", "v", "_rank", "_digest").collect()
+        want = sample_by_sorting(rows, ["k", "v"], f"s{x}", found.sizes[x])
+        assert sorted(r["_rank"] for r in got) == list(range(1, len(want) + 1))
+        assert sorted((r["_rank"], r["_digest"]) for r in got) == [(n, d) for n, (d, _, _) in enumerate(want, 1)]
+        assert Counter((r.k, r.v) for r in got) == Counter(tuple(r.values()) for *_, r in want)
+    whole = Counter(tuple(r) for r in found.near.select("k", "v").unionByName(found.far).collect())
+    assert whole == Counter(tuple(r.values()) for r in rows)
+
+
+def test_defects_of_an_empty_table(spark, tmp_path):
+    t = Tables(spark, FOLDER)
+    found = inject(t.source(MOVIMIENTOS).limit(0), MOVIMIENTOS, date(2025, 7, 31), "s", str(tmp_path))
+    assert found.table.count() == found.log.count() == 0
+
+
 def test_dates_split_in_halves(spark):
     df = spark.range(1001).select(F.col("id").cast("string").alias("k"), F.lit(date(2024, 5, 5)).alias("d"))
     out = faults.shift_dates(df, 0.011, "d", "T", "k", date(2025, 7, 31), "s")
