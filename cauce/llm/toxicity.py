@@ -3,14 +3,17 @@
 Features of a whole text: density, number, weight and variety of lexicon words, the share of them near a second-person
 word, capitals, punctuation, obfuscated words (letters mixed with digits or symbols, counted again with the symbols read as
 letters), digits and length. The lexicon is learned: words and word beginnings (``lowe*``) that are more frequent in
-toxic training texts, the most significant ones by the log-likelihood ratio. Trees are of fixed depth on binned features with logistic loss; the calibration maps scores that
-folds held out of training got to the frequency of label 1, without a decrease.
+toxic training texts, all that are significant by the log-likelihood ratio. Trees are of fixed depth on binned features with
+logistic loss; the calibration maps scores that folds held out of training got to the frequency of label 1, without a decrease;
+equal scores are one point of it.
 
-Everything is fitted on at most about ``train_rows`` labelled rows, chosen by a hash of doc_id, none of them held out.
+Everything is fitted on at most about ``train_rows`` labelled ids, chosen by a hash of doc_id, none of them held out, with one
+text each.
 
 Defined results: null and empty texts are scored like any text (all features 0); without labels of both kinds the score is
-the share of label 1 (0 without labels); null ids are held out; repeated rows get equal scores; other columns
-are not read. Of several labels of one document the highest counts.
+the share of label 1 (0 without labels); null ids are held out; repeated rows get equal scores; very long texts and words are
+read whole, in time that grows with their length; an empty table gives no rows; other columns are not read. Of several labels of one document the
+highest counts, of several texts the one of the smallest hash. Between equal gains the first feature and the lowest cut are taken.
 """
 
 from __future__ import annotations
@@ -29,13 +32,14 @@ from cauce.llm.common import slices, table, text_batches
 from cauce.llm.language import held_out, training_sample
 
 TRAIN_ROWS = 10_000
-LEXICON = 300
+SIGNIFICANT = 20.0  # log-likelihood ratio / 2 of a lexicon word, in nats
 STEMS = range(4, 9)
 STRONG = 4.0
-MEMO = 300_000
+MEMO = 100_000
+MEMO_LENGTH = 64
 NEAR = 5
 WORD = re.compile(r"[^\W\d_]+")
-MIXED = re.compile(r"[^\W\d_]+[0-9@$*!|][\w@$*!|]*[^\W\d_]")
+MIXED = re.compile(r"(?<![^\W\d_])[^\W\d_]++[0-9@$*!|][\w@$*!|]*[^\W\d_]")  # from the start of a run of letters: linear
 LIKE = str.maketrans("013457@$!|", "oieasasii" + "l")
 YOU = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch sie tu te toi ton ta tes vous votre vos "
                 "tú ti tus usted ustedes vosotros".split())
@@ -55,14 +59,22 @@ class Lexicon(dict):
 
     def __missing__(self, word: str) -> float:
         found = max((self.weights[u] for u in units(word) if u in self.weights), default=0.0)
-        if len(self) < MEMO:
+        if len(self) < MEMO and len(word) <= MEMO_LENGTH:
             self[word] = found
         return found
 
 
+def letters(text: str) -> list[str]:
+    """Runs of letters; numbers that are no digits (``[^\\W\\d_]`` has them) part runs."""
+    found = WORD.findall(text)
+    if all(map(str.isalpha, found)):
+        return found
+    return [part for w in found for part in "".join(c if c.isalpha() else " " for c in w).split()]
+
+
 def features(text: str | None, lexicon: Lexicon) -> list[float]:
     text = text or ""
-    words = WORD.findall(text.lower())
+    words = letters(text.lower())
     n, size = max(len(words), 1), max(len(text), 1)
     found = [lexicon[w] for w in words]
     hits = [i for i, x in enumerate(found) if x]
@@ -70,7 +82,7 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     strong = sum(1 for x in weights if x > STRONG)
     near = sum(1 for i in hits if not YOU.isdisjoint(words[max(0, i - NEAR):i + NEAR + 1]))
     mixed = MIXED.findall(text)
-    plain = [x for m in mixed for w in WORD.findall(m.lower().translate(LIKE)) if (x := lexicon[w])]
+    plain = [x for m in mixed for w in letters(m.lower().translate(LIKE)) if (x := lexicon[w])]
     raw = np.bincount(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8), minlength=256)
     marks = int(raw[33:48].sum() + raw[58:65].sum() + raw[91:97].sum() + raw[123:127].sum())
     return [
@@ -88,7 +100,7 @@ def _present(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return pd.DataFrame([(w, y, n) for y, c in found.items() for w, n in c.items()], columns=["word", "y", "n"])
     for frame in frames:
         for text, y in zip(frame.text, frame.y):
-            found[y].update({u for w in set(WORD.findall(text.lower())) for u in units(w)})
+            found[y].update({u for w in set(letters(text.lower())) for u in units(w)})
             if len(found[0]) + len(found[1]) > 500_000:
                 yield rows()
                 found[0].clear(), found[1].clear()
@@ -96,7 +108,7 @@ def _present(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:
-    """At most LEXICON words and beginnings with their log odds ratio, by the log-likelihood ratio of their presence."""
+    """Words and beginnings with their log odds ratio, where the log-likelihood ratio of their presence is significant."""
     totals = {r.y: float(r.n) for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
         return {}
@@ -106,9 +118,9 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     odds = F.log((a + 0.5) / (toxic - a + 0.5)) - F.log((b + 0.5) / (plain - b + 0.5))
     part = lambda n, of: F.when(n > 0, n * F.log(n / of)).otherwise(0.0)
     ratio = part(a, (a + b) * toxic / (toxic + plain)) + part(b, (a + b) * plain / (toxic + plain))
-    best = counts.where("a >= 4").select("word", odds.alias("odds"), ratio.alias("ratio")).where("odds > 1.5").orderBy(
-        F.desc("ratio"), "word").limit(LEXICON)
-    return {r.word: r.odds for r in best.collect()}
+    best = counts.where("a >= 4").select("word", odds.alias("odds"), ratio.alias("ratio")).where(
+        (F.col("odds") > 1.5) & (F.col("ratio") > SIGNIFICANT))
+    return {r.word: r.odds for r in best.collect()}  # words of the sample, each in four of its texts or more
 
 
 class Boosted:
@@ -163,10 +175,11 @@ class Boosted:
 
 def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: (scores, frequencies), both rising; between them values are interpolated."""
-    order = np.argsort(score, kind="stable")
+    points, of = np.unique(score, return_inverse=True)  # equal scores are one point, whatever their order
+    weights, ones = np.bincount(of), np.bincount(of, y)
     blocks: list[list[float]] = []  # sum of y, weight, sum of scores
-    for s, v in zip(score[order], y[order]):
-        blocks.append([float(v), 1.0, float(s)])
+    for s, v, w in zip(points.tolist(), ones.tolist(), weights.tolist()):
+        blocks.append([v, float(w), s * w])
         while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
             last = blocks.pop()
             blocks[-1] = [a + b for a, b in zip(blocks[-1], last)]
@@ -177,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
     """Plain data that ``score`` takes: lexicon, base, trees and calibration."""
     marked = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"), F.lit("").alias("text"))
     sample = training_sample(marked, "y", train_rows).select("doc_id", "y").join(docs.select("doc_id", "text"), "doc_id").where(
-        "text IS NOT NULL").persist()
+        "text IS NOT NULL").groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).persist()
     lexicon = learn_lexicon(sample)
     got = sample.select("doc_id", "y", "text").mapInPandas(
         _measured(lexicon), "doc_id long, y int, x array<double>").toPandas().sort_values("doc_id", ignore_index=True)  # ``train_rows`` at most
