@@ -421,7 +421,7 @@ def _met(rows: DataFrame, threshold: int, parts: int, frequent: np.ndarray, widt
     """Documents (kind 0: x = doc_id, y = hash of the text, id, n) and ties (kind 1: x, y) out of texts or sets."""
     entries = rows.mapInArrow(_entries(threshold, parts, frequent, width), ENTRY)
     return stored(entries.repartition(parts, "part").groupBy("part").applyInPandas(
-        _gathered, "kind int, x long, y long, id long, n long"), "jaccard-blocks")
+        _gathered, "kind int, x long, y long, id long, n long").coalesce(-(-parts // 4)), "jaccard-blocks")
 
 
 def _families(met: DataFrame) -> DataFrame:
@@ -525,16 +525,18 @@ def ngram_classes(docs: DataFrame, width: int = 4, threshold: int = 85) -> DataF
     """One row per document: doc_id, n_shingles, n_links (other documents that link with it), component_id (smallest
     doc_id of its class)."""
     known, links = ngram_links(docs, width, threshold, "count")
-    named = _classed(known, links)
-    linked = named.where("n > 0")
-    others = links.where("others > 0").groupBy(F.col("a").alias("id")).agg(F.sum("others").alias("others"))
-    numbers = linked.groupBy("id").agg((F.count("*") - 1).alias("others")).unionByName(others).groupBy("id").agg(
-        F.sum("others").alias("n_links"))
     real = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
-    least = linked.groupBy("cls").agg(F.min(real).alias("component_id"))
+    ids = known.where("n > 0").groupBy("id").agg(F.count("*").alias("copies"), F.min(real).alias("least"))
+    classes = components(links.where("tie"), "jaccard-classes")
+    sets = stored(ids.join(classes, "id", "left").withColumn("cls", F.coalesce("component", "id")).drop("component"), "jaccard-named")
+    least = stored(sets.groupBy("cls").agg(F.min("least").alias("component_id")), "jaccard-least")
+    others = links.where("others > 0").groupBy(F.col("a").alias("id")).agg(F.sum("others").alias("others"))
+    found = stored(sets.join(least, "cls").join(others, "id", "left").select(
+        "id", "component_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "jaccard-found")
+    discard(classes, sets, least)
     out = [real.alias("doc_id"), F.col("n").alias("n_shingles"), "n_links", "component_id"]
-    return linked.join(least, "cls").join(numbers, "id").select(*out).unionByName(
-        named.where("n = 0").withColumn("component_id", real).withColumn("n_links", F.lit(0).cast("long")).select(*out))
+    return known.where("n > 0").join(found, "id").select(*out).unionByName(
+        known.where("n = 0").withColumn("component_id", real).withColumn("n_links", F.lit(0).cast("long")).select(*out))
 
 
 def first_of_each(docs: DataFrame, width: int = 4, threshold: int = 85) -> DataFrame:
@@ -547,9 +549,25 @@ def first_of_each(docs: DataFrame, width: int = 4, threshold: int = 85) -> DataF
     one = named.where("n > 0").groupBy("cls").agg(
         F.min(F.struct((F.col("doc_id") == NO_ID).alias("unnamed"), "doc_id", "th")).alias("one")).select("one.doc_id", "one.th")
     kept = one.unionByName(named.where("n = 0").select("doc_id", "th").distinct()).toDF("_id", "_th")
-    rows = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_th": F.xxhash64("text")})
-    return rows.join(kept, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"]).drop("_id", "_th")
+    rows = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("_row"),
+                       F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64("text").alias("_th"))
+    return rows.join(kept, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"]).select("_row.*")
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_classes(table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT r, unnest(CASE WHEN len(w) BETWEEN 1 AND 3 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)] END) AS g FROM d),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r < b.r GROUP BY a.r, b.r),
+l AS (SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+t(r, m) AS (SELECT r, doc_id FROM d UNION SELECT e.b, t.m FROM t JOIN e ON e.a = t.r)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, (SELECT count(*) FROM e WHERE e.a = d.r) AS n_links,
+  (SELECT min(m) FROM t WHERE t.r = d.r) AS component_id FROM d LEFT JOIN n ON n.r = d.r
+"""
