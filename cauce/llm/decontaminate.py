@@ -10,7 +10,8 @@ The windows' shingles and prefixes are as many as the benchmark's words. No join
 below its threshold, by estimate or by measured size, and sorts and merges beyond it.
 
 Defined results: null and empty texts have no words and no hits; items without words, or without an id, are no items;
-items of equal id count once; repeated documents get equal rows; columns besides doc_id, item_id and text are not read
+items of equal id count once; repeated documents get equal rows; very long texts are searched whole; without documents there are no
+rows, without items no hits; columns besides doc_id, item_id and text are not read
 by the join and are kept by ``clean``.
 """
 

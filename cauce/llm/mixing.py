@@ -6,11 +6,11 @@ and only a node all of whose children are full leaves a shortage, which its own
 ancestors. Budgets are whole tokens and add up exactly; the remainders of rounding go to the first children by name.
 
 A leaf reads its budget from a stream of epochs. An epoch is all its documents in the order of
-``md5(seed:epoch:doc_id)``; whole epochs take every document, and of the last one a prefix of the tokens is taken. To find
+``md5(seed:epoch:doc_id)`` (of the text's digest where the id is missing); whole epochs take every document, and of the last one a prefix of the tokens is taken. To find
 it, the tokens are added up by leaf and the hash's first three digits; only documents of the one slice in which
 the prefix ends are ordered, a 4096th of the leaf. So a leaf may hold any share of the rows.
 
-Defined results: null and empty texts have no tokens and are never drawn; a null level is the value ``(none)``; null ids
+Defined results: null and empty texts have no tokens and are never drawn; a very long text is one document like any other; a null level is the value ``(none)``; null ids
 and repeated rows are documents of their own, ordered by tokens and text after the hash; weights of 0 get nothing;
 an empty table gives no rows; input columns named like a level or like epoch, n_tokens or take are replaced.
 """
@@ -88,7 +88,8 @@ def mixed(docs: DataFrame, levels: list[Level], total: int | None = None, max_ep
     plan = stored(leaf_budgets(leaves, levels, total, max_epochs).where("budget > 0").select(
         *names, F.expr("budget div tokens").cast("int").alias("whole"), F.expr("budget % tokens").alias("rest")), "shares")
     drawn = lambda p: base.join(p, names).withColumn(
-        "_h", F.md5(F.concat_ws(":", F.lit(str(seed)), "whole", "doc_id").cast("binary")))
+        "_h", F.md5(F.concat_ws(":", F.lit(str(seed)), "whole", F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text").cast("binary"))))
+                    .cast("binary")))
     # the struct is another key than the join's, so that a hot leaf is added up in all tasks before it meets
     slices = drawn(plan).where("rest > 0").groupBy(F.struct(*names).alias("leaf"), "rest", F.substring("_h", 1, DIGITS).alias("slice")).agg(
         F.sum("n_tokens").alias("n"))
@@ -157,7 +158,7 @@ g0 AS (SELECT sum(t)::HUGEINT AS budget FROM leaf),""" + ",".join([
     _share_sql("g2", "leaf", "domain, lang", "source", "g3")]) + """,
 plan AS (SELECT domain, lang, source, budget // t AS whole, budget % t AS rest FROM g3 JOIN leaf USING (domain, lang, source)),
 r AS (SELECT d.*, whole::INT AS whole, rest, sum(n_tokens) OVER (PARTITION BY domain, lang, source
-        ORDER BY md5('7:' || whole::INT || ':' || doc_id), n_tokens ROWS UNBOUNDED PRECEDING) - n_tokens AS bef
+        ORDER BY md5('7:' || whole::INT || ':' || coalesce(doc_id::VARCHAR, md5(text))), n_tokens ROWS UNBOUNDED PRECEDING) - n_tokens AS bef
       FROM d JOIN plan USING (domain, lang, source)),
 o AS (SELECT *, unnest(range(0, whole)) AS epoch, n_tokens AS take FROM r
       UNION ALL SELECT *, whole AS epoch, least(n_tokens, rest - bef) AS take FROM r WHERE bef < rest)

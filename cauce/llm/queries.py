@@ -5,12 +5,12 @@ from __future__ import annotations
 from cauce.llm.chat_format import OP11_SQL, op11_chat_format
 from cauce.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
 from cauce.llm.hash_forest import op10_hash_forest
-from cauce.llm.jaccard_join import op2_ngram_jaccard
+from cauce.llm.jaccard_join import OP2_SQL, op2_ngram_jaccard
 from cauce.llm.language import op4_language_id
 from cauce.llm.line_templates import OP7_SQL, op7_line_templates
 from cauce.llm.mixing import OP1_SQL, op1_mixing
 from cauce.llm.shards import op9_sharding
-from cauce.llm.spelling import op12_spelling_variants
+from cauce.llm.spelling import OP12_SQL, op12_spelling_variants
 from cauce.llm.token_counts import op5_token_counts
 from cauce.llm.token_files import op3_token_files
 from cauce.llm.toxicity import op6_toxicity
@@ -34,7 +34,9 @@ QUERIES = {
 
 TWINS: dict[str, str] = {
     "op1_mixing": OP1_SQL,
+    "op2_ngram_jaccard": OP2_SQL,
     "op7_line_templates": OP7_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
     "op11_chat_format": OP11_SQL,
+    "op12_spelling_variants": OP12_SQL,
 }

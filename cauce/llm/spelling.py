@@ -164,3 +164,26 @@ def spelling_groups(words: DataFrame, ratio: int = 10) -> DataFrame:
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return spelling_groups(counted(planted(runs(docs, shortest=7))))
+
+
+_CRC = "xor(list_reduce(list_prepend(4294967295, [('0x' || substr(hex({0}), 2 * i + 1, 2))::BIGINT FOR i IN range(strlen({0}))]), " \
+       "lambda c, b: xor(c >> 8, steps[xor(c, b) % 256 + 1])), 4294967295)"
+OP12_SQL = f"""
+WITH RECURSIVE crc AS (SELECT list(v ORDER BY i) AS steps FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v FROM range(256) r(i))),
+u AS (SELECT coalesce(doc_id::VARCHAR, '') AS d, unnest(regexp_extract_all(translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+    '[{LETTERS}]+')) AS run FROM documents),
+v AS (SELECT d || ':' || run AS mark, run, count(*) AS k FROM u WHERE length(run) >= 7 GROUP BY ALL),
+c AS (SELECT run, k, {_CRC.format('mark')} AS h FROM v, crc),
+w AS (SELECT word, sum(k)::BIGINT AS n FROM (SELECT k, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+    ELSE run END AS word FROM c) WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+g AS (SELECT word, unnest([substr(word, 1, i) || '{END}' || substr(word, i + 2) FOR i IN range(length(word))]) AS gap FROM w),
+p AS (SELECT a.word, b.word AS other FROM g a JOIN g b USING (gap) WHERE a.word <> b.word
+      UNION SELECT g.word, w.word FROM g JOIN w ON replace(g.gap, '{END}', '') = w.word
+      UNION SELECT w.word, g.word FROM g JOIN w ON replace(g.gap, '{END}', '') = w.word),
+b AS (SELECT p.word, count(*) AS n_near, first(other ORDER BY o.n DESC, other) AS best, max(o.n) AS best_n FROM p JOIN w o ON o.word = other GROUP BY p.word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * w.n THEN best END AS form,
+      CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n FROM w LEFT JOIN b ON b.word = w.word),
+t(word, root) AS (SELECT word, word FROM f UNION ALL SELECT t.word, f.form FROM t JOIN f ON f.word = t.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, t.root, f.n, f.n_near, f.form_n FROM f JOIN t ON t.word = f.word JOIN f e ON e.word = t.root AND e.form IS NULL
+"""

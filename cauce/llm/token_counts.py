@@ -8,7 +8,8 @@ character that the vocabulary lacks and that no merge took up counts as its byte
 No piece of the vocabulary holds a space mark after another character, so merges never cross from a word to the space
 before the next one: text is cut there, and each distinct word is counted once and remembered.
 
-Defined results: null and empty texts have 0 tokens and 0 bytes; other columns are not read, and equal rows get equal rows.
+Defined results: null and empty texts have 0 tokens and 0 bytes; other columns are not read, and equal rows get equal rows; very long
+texts and words are counted whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

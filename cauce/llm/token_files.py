@@ -14,7 +14,7 @@ and writes each file under a name of its own before it renames it, so a repeated
 are encoded once by the library and remembered: the tokenizer never joins across white space.
 
 Defined results: null and empty texts are the end id alone; null ids sort first; repeated ids follow each other, ordered by
-a hash of their texts; a document longer than a shard is a shard by itself; an empty table gives no files. Other columns
+a hash of their texts; a document longer than a shard, however long, is a shard by itself; an empty table gives no files. Other columns
 are not read.
 """
 
@@ -44,6 +44,7 @@ from cauce.llm.common import partitions_for, scratch, slices, table
 MAGIC = b"WMX1"
 BLOCK = 1 << 16  # bits
 MEMO = 700_000
+MEMO_LENGTH = 64
 SHARD_TOKENS = 4_000_000
 PLAIN = "^(?P<lead>[!-&(-/:-@\\[-`{-~]*)(?P<core>[A-Za-zÀ-ÖØ-öø-įı-ſ]+)(?P<trail>[!-&(-/:-@\\[-`{-~]*)$"
 
@@ -88,7 +89,7 @@ class WordEncoder:
         missing = [k for k, x in enumerate(found) if x is None]
         for k, x in zip(missing, encode([names[k] for k in missing])):
             found[k] = x
-            if len(known) < MEMO:
+            if len(known) < MEMO and len(names[k]) <= MEMO_LENGTH:
                 known[names[k]] = x
         return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) >> 2
 
@@ -304,8 +305,13 @@ def _reader(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_documents(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
     """One row per document from the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, file."""
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    starts = files.select("file", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("first"))
+    task = F.substring_index("file", "-", 2).alias("task")  # shard-task-number: the files of a task follow each other
+    sums = files.groupBy(task).agg(F.sum("tokens").alias("tokens"))
+    earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)  # one row per writing task
+    tasks = sums.select("task", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("_task_first"))
+    before = Window.partitionBy("task").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.withColumn("task", task).withColumn("_before", F.coalesce(F.sum("tokens").over(before), F.lit(0))).join(tasks, "task").select(
+        "file", (F.col("_task_first") + F.col("_before")).alias("first"))
     rows = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.wmx").load(folder).select("path", "content").mapInPandas(
         _reader, "file string, doc_id long, inside long, n_tokens long, ids_crc32 long")
     return rows.join(starts, "file").select("doc_id", (F.col("first") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32", "file")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import defaultdict
 
@@ -279,6 +280,75 @@ def test_decontamination_odd_rows(spark, odd, none):
     assert decontaminate.contamination(odd, items.limit(0)).where("n_hit > 0").count() == 0
 
 
+def brute_nearest(rows, asked, k=10):
+    """All rows but the query's own, by distance and id."""
+    out = []
+    for i, (q, v) in enumerate(rows):
+        if asked(q):
+            far = sorted((math.sqrt(sum((a - b) ** 2 for a, b in zip(v, w))), o) for j, (o, w) in enumerate(rows) if j != i)
+            out += [(q, r, o, d) for r, (d, o) in enumerate(far[:k], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block", [16_384, 7])
+def test_forest_with_copies_and_repeated_ids(spark, monkeypatch, block):
+    """Everything is compared where there are few vectors: exact, with rows that repeat ids and vectors."""
+    monkeypatch.setattr(hash_forest, "BLOCK", block)
+    rng = np.random.default_rng(8)
+    vectors = [[float(x) for x in rng.integers(-3, 4, 4)] for _ in range(25)]
+    vectors = [v for v in vectors if any(v)]
+    rows = [(int(i), v) for i, v in enumerate(vectors)] + [(100 + i, vectors[0]) for i in range(30)] + [(0, vectors[0])] * 3
+    rows += [(0, vectors[1]), (200, vectors[2]), (200, vectors[2]), (200, vectors[3])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = hash_forest.nearest(df, F.col("vec_id") % 100 == 0, recall=1.1).collect()  # never reached: from the root
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == brute_nearest(rows, lambda i: i % 100 == 0)
+
+
+@pytest.mark.parametrize("clusters", [0, 40])
+@pytest.mark.parametrize("n", [300, 4096, 12_000])
+def test_forest_recall_at_several_sizes(spark, n, clusters):
+    rng = np.random.default_rng(n)
+    x = rng.standard_normal((n, 32)).astype(np.float32)
+    if clusters:
+        x = (rng.standard_normal((clusters, 32))[rng.integers(0, clusters, n)] + 0.15 * x).astype(np.float32)
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>")
+    got = hash_forest.nearest(df, F.col("vec_id") % 100 == 0).toPandas()
+    found, wide = 0, x.astype(float)
+    assert len(got) == 10 * len(range(0, n, 100))
+    for q, own in got.groupby("query_id"):
+        far = np.sqrt(((wide - wide[q]) ** 2).sum(1))
+        far[q] = np.inf
+        found += len(set(np.argsort(far, kind="stable")[:10]) & set(own.vec_id))
+        assert np.allclose(own.score, far[own.vec_id], rtol=0, atol=1e-12) and own.sort_values("rank").score.is_monotonic_increasing
+    assert found >= 0.9 * len(got)
+
+
+def test_forest_gives_all_candidates_if_partitions_hold_too_few(spark):
+    """Queries whose prefixes hold next to nothing ascend to the root."""
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.standard_normal((400, 8)) * 0.01 + 5, rng.standard_normal((5, 8)) * 3 - 9])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = hash_forest.nearest(df, F.col("vec_id") >= 395).groupBy("query_id").count().collect()
+    assert {r.query_id: r["count"] for r in got} == {q: 10 for q in range(395, 405)}
+
+
+def test_depth_follows_the_data():
+    rng = np.random.default_rng(2)
+    far, near = rng.standard_normal((200, 64)), rng.standard_normal((200, 64))
+    planes, of = hash_forest.Planes(far, 1), np.arange(200)
+    counts = np.broadcast_to(10_000 >> np.arange(33), (200, hash_forest.TREES, 33))
+
+    def depth(other, classes=10_000, recall=0.95):
+        shared = hash_forest._shared_bits(planes.strings(far, hash_forest.TREES), planes.strings(other, hash_forest.TREES))
+        return hash_forest.chosen_depth(shared, of, counts, classes, 10, recall)
+    close, loose = depth(far + 0.02 * near), depth(far + 0.8 * near)
+    assert 7 >= close[0] > loose[0] and close[2] == 10_000 >> close[0]
+    assert depth(far, 30) == (0, 1, 30) and depth(far, 10_000, 1.1) == (0, 1, 10_000)
+    dense = np.full((200, hash_forest.TREES, 33), 10_000)  # all share all bits: nothing is found below the root's range
+    shared = hash_forest._shared_bits(planes.strings(far, hash_forest.TREES), planes.strings(far + 0.8 * near, hash_forest.TREES))
+    assert hash_forest.chosen_depth(shared, of, dense, 10_000, 10, 0.95)[2] >= loose[2]
+
+
 def test_forest_recall_and_odd_vectors(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     data = vectors.toPandas()
