@@ -5,7 +5,9 @@ from __future__ import annotations
 from types import SimpleNamespace
 
 from cauce import queries
+from cauce.operators.distinct_counts import DistinctCounts
 from cauce.schemas import MOVIMIENTOS, SOURCES
+from cauce.sources.lake import Lake
 from tests.frames import raw
 from tests.test_skew import final_plan, no_broadcast
 
@@ -19,3 +21,14 @@ def test_parts_of_an_extract_are_not_gathered(spark):
         plan = final_plan(found)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
     assert found.count() == 400 and found.where("parte_acotada").count() == 400
+
+
+def test_bitmaps_of_many_groups_stay_as_small_as_their_ids(spark, tmp_path):
+    state = DistinctCounts(Lake(spark, str(tmp_path)), "x", ("g",), {"ids": ("id", "TRUE")})
+    rows = spark.range(6000).selectExpr("cast(id % 1500 as string) AS g", "concat('id', id) AS id")
+    state.apply(rows, "b0")
+    maps = spark.read.parquet(state._path("mapas"))
+    assert maps.schema["_bits"].dataType.simpleString() == "bigint"  # a word of 64 bits
+    assert maps.count() <= 6000 + 1500
+    state.apply(rows.where("id < 'id3'"), "b1")
+    assert {r.ids for r in state.counts().collect()} == {4}
