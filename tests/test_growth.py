@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
+from pyspark.sql import functions as F
+
 from cauce import queries
 from cauce.operators.distinct_counts import DistinctCounts
+from cauce.operators.sampling import ranked_samples, row_digest
 from cauce.schemas import MOVIMIENTOS, SOURCES
 from cauce.sources.lake import Lake
 from tests.frames import raw
@@ -32,3 +35,20 @@ def test_bitmaps_of_many_groups_stay_as_small_as_their_ids(spark, tmp_path):
     assert maps.count() <= 6000 + 1500
     state.apply(rows.where("id < 'id3'"), "b1")
     assert {r.ids for r in state.counts().collect()} == {4}
+
+
+def test_sampling_makes_a_rows_text_once_for_all_digests(spark, tmp_path):
+    df = spark.range(5000).selectExpr("cast(id % 4000 as int) AS a", "if(id % 9 = 0, null, cast(id % 4000 as string)) AS b")
+    shares = {"p": 0.01, "q": 0.02, "r": 1.0}
+    found = ranked_samples(df, {k: v for k, v in shares.items() if k != "r"}, {"p": "s1", "q": "s2"},
+                           lambda n: {"p": int(n * 0.01), "q": int(n * 0.02)}, str(tmp_path / "near"))
+    plan = found.far._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat_ws") == 1 and "conv(" not in plan
+    order = lambda seed: [F.md5(F.concat_ws("|", F.coalesce(F.col("a").cast("string"), F.lit("")), F.coalesce("b", F.lit("")), F.lit(seed))), "a"]
+    for name, seed, size in (("p", "s1", 50), ("q", "s2", 100)):
+        want = [r.a for r in df.orderBy(*order(seed)).limit(size).collect()]
+        assert [r.a for r in found.picked(name).orderBy("_rank").collect()] == want
+    assert found.far.unionByName(found.near.select("a", "b")).groupBy("a", "b").count().exceptAll(df.groupBy("a", "b").count()).isEmpty()
+    assert df.select(row_digest(["a", "b"], "s1")).exceptAll(df.select(order("s1")[0])).isEmpty()
+    whole = ranked_samples(df, {"r": 1.0}, {"r": "s"}, lambda n: {"r": n}, str(tmp_path / "all"))
+    assert whole.far.isEmpty() and whole.picked("r").count() == 5000
