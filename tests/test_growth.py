@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+from decimal import Decimal
 from types import SimpleNamespace
 
 from pyspark.sql import functions as F
@@ -9,7 +11,9 @@ from pyspark.sql import functions as F
 from cauce import queries
 from cauce.operators.distinct_counts import DistinctCounts
 from cauce.operators.sampling import ranked_samples, row_digest
-from cauce.schemas import MOVIMIENTOS, SOURCES
+from cauce.plans import silver
+from cauce.plans.incremental import IncrementalMovements
+from cauce.schemas import CLIENTES, MOVIMIENTOS, PRODUCTOS, SOURCES
 from cauce.sources.lake import Lake
 from tests.frames import raw
 from tests.test_skew import final_plan, no_broadcast
@@ -52,3 +56,28 @@ def test_sampling_makes_a_rows_text_once_for_all_digests(spark, tmp_path):
     assert df.select(row_digest(["a", "b"], "s1")).exceptAll(df.select(order("s1")[0])).isEmpty()
     whole = ranked_samples(df, {"r": 1.0}, {"r": "s"}, lambda n: {"r": n}, str(tmp_path / "all"))
     assert whole.far.isEmpty() and whole.picked("r").count() == 5000
+
+
+def test_two_numbers_go_to_the_join_of_the_statistics(spark, ctx):
+    parents = silver.stg_clientes(raw(spark, CLIENTES, {}), ctx), silver.stg_productos(raw(spark, PRODUCTOS, {}))
+    rows = raw(spark, MOVIMIENTOS, *({"id_mov": f"M{i}", "fec_mov": date(2025, 3, 1 + i), "vr_mov": Decimal(i + 1)} for i in range(4)))
+    found = silver.stg_movimientos(rows, *parents, ctx)
+    above = found._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[0]
+    assert "stddev_movil_30d" in above and "trailing_" not in above
+    got = {r.id_mov: (r.promedio_movil_30d, r.stddev_movil_30d) for r in found.collect()}
+    assert got == {"M0": (None, None), "M1": (1.0, None), "M2": (1.5, 0.5**0.5), "M3": (2.0, 1.0)}
+
+
+def test_settled_rows_of_a_batch_are_not_staged_again(spark, ctx, tmp_path):
+    """A batch's winners lie with its changes already; a row that takes another's place is still taken in, and taken off."""
+    clients, products = silver.stg_clientes(raw(spark, CLIENTES, {}), ctx), silver.stg_productos(raw(spark, PRODUCTOS, {}))
+    state = IncrementalMovements(Lake(spark, str(tmp_path)), ctx)
+    late = raw(spark, MOVIMIENTOS, {"vr_mov": Decimal(9)}, {"id_mov": "M2", "fec_mov": date(2025, 3, 9)}, {"id_mov": "M3", "fec_mov": date(2025, 3, 20)})
+    early = raw(spark, MOVIMIENTOS, {"vr_mov": Decimal(7), "ingestion_ts": "2025-11-01T00:00:00+00:00"})
+    state.apply(late, "b1", products)
+    state.apply(early, "b0", products)
+    assert not any("unicos" in name and "kept" not in name for name in state.lake.names(state._path("_preparado")))
+    assert {(r.fec_mov, r._n, r._s) for r in state.totals().collect()} == {
+        (date(2025, 3, 1), 1, 700), (date(2025, 3, 9), 1, 10_000), (date(2025, 3, 20), 1, 10_000)}
+    want = silver.stg_movimientos(late.unionByName(early), clients, products, ctx)
+    assert state.stg_movimientos(clients, products).exceptAll(want).isEmpty() and want.count() == 3
