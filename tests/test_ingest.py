@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from datetime import date, datetime, timezone
 from decimal import Decimal as D
 
@@ -50,6 +51,24 @@ def test_incremental_runs(spark, lake):
     assert ingest.load_raw(job, SOURCES[MOVIMIENTOS])["rows"] == 3
 
 
+def test_tables_of_a_run_are_read_beside_each_other(spark, lake):
+    """Each of two tables waits for the other; a third that fails is recorded."""
+    names = (CLIENTES, PRODUCTOS, COMISIONES)
+    job, both = ingest.Ingestion(lake, "core", {n: SOURCES[n] for n in names}), threading.Barrier(2)
+
+    def read(table, _last):
+        if table.name == COMISIONES:
+            raise ValueError("gone")
+        both.wait(20)
+        return table.project(raw(spark, table.name, {}))
+
+    with pytest.raises(ingest.IngestionFailed, match="1 table"):
+        job.run(read, "b0", AT[0])
+    entry = job.run_log().first()
+    assert {name: t["rows"] for name, t in entry["tables"].items()} == {CLIENTES: 1, PRODUCTOS: 1}
+    assert [(e["table"], "gone" in e["error"]) for e in entry["errors"]] == [(COMISIONES, True)]
+
+
 def test_overlap_takes_late_rows_once(spark, lake):
     """Late rows of the watermark's day, further copies of a row, and dates in the future, over four runs and a repetition."""
     table = SOURCES[MOVIMIENTOS]
