@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cauce import queries
 from cauce.operators.distinct_counts import DistinctCounts
+from cauce.operators.rolling import trailing_deviation
 from cauce.operators.sampling import ranked_samples, row_digest
 from cauce.plans import silver
 from cauce.plans.incremental import IncrementalMovements
@@ -68,6 +69,28 @@ def test_two_numbers_go_to_the_join_of_the_statistics(spark, ctx):
     assert got == {"M0": (None, None), "M1": (1.0, None), "M2": (1.5, 0.5**0.5), "M3": (2.0, 1.0)}
 
 
+def test_wide_rows_are_not_sorted_for_their_statistics(spark, ctx):
+    parents = silver.stg_clientes(raw(spark, CLIENTES, {}), ctx), silver.stg_productos(raw(spark, PRODUCTOS, {}))
+    rows = raw(spark, MOVIMIENTOS, *({"id_mov": f"M{i}", "fec_mov": date(2025, 3, 1 + i)} for i in range(4)))
+    with no_broadcast(spark):
+        plan = final_plan(silver.stg_movimientos(rows, *parents, ctx))
+    assert "ShuffledHashJoin" in plan and not any("SortMergeJoin" in line and "Inner" in line for line in plan.splitlines())
+
+
+def test_spreads_of_longs_and_of_decimals_are_the_same(spark):
+    """Frames below and above the limit of longs, and close to it: the exact deviation, rounded once."""
+    frames = [[7], [3, 3], [1, 2, 4], [-5, 0, 12], [10**9] * 2 + [10**9 + 1], [15 * 10**8, 15 * 10**8 - 1], [22 * 10**8, 0, 1], [10**15, 10**15 - 3],
+              [0, 0], [2 * 10**9, 2 * 10**9 + 1], [10**16 - 1, 1]]
+    rows = [(i, len(f), Decimal(sum(f)), Decimal(sum(x * x for x in f))) for i, f in enumerate(frames)]
+    df = spark.createDataFrame(rows, "i int, trailing_n bigint, trailing_sum decimal(36,0), trailing_squares decimal(38,0)")
+    found = df.select("i", trailing_deviation().alias("d"))
+    assert found._jdf.queryExecution().analyzed().toString().count("CASE WHEN") == 2  # enough rows, and short enough for longs
+    for r in found.collect():
+        f = frames[r.i]
+        n, spread = len(f), len(f) * sum(x * x for x in f) - sum(f) ** 2
+        assert r.d == (None if n < 2 else (float(spread) / (n * (n - 1.0))) ** 0.5 / 100), f
+
+
 def test_settled_rows_of_a_batch_are_not_staged_again(spark, ctx, tmp_path):
     """A batch's winners lie with its changes already; a row that takes another's place is still taken in, and taken off."""
     clients, products = silver.stg_clientes(raw(spark, CLIENTES, {}), ctx), silver.stg_productos(raw(spark, PRODUCTOS, {}))
