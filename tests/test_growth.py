@@ -9,6 +9,8 @@ from types import SimpleNamespace
 from pyspark.sql import functions as F
 
 from cauce import queries
+from cauce.operators import checks
+from cauce.operators.checks import Related
 from cauce.operators.distinct_counts import DistinctCounts
 from cauce.operators.rolling import trailing_deviation
 from cauce.operators.sampling import ranked_samples, row_digest
@@ -91,6 +93,14 @@ def test_spreads_of_longs_and_of_decimals_are_the_same(spark):
         assert r.d == (None if n < 2 else (float(spread) / (n * (n - 1.0))) ** 0.5 / 100), f
 
 
+def test_names_of_relationships_do_not_travel_with_the_rows(spark):
+    child = spark.createDataFrame([("a", "x"), ("b", None)], "k string, l string")
+    parent = spark.createDataFrame([("a",)], "pk string")
+    found = checks.run_tests({"child": child, "p": parent}, [Related("child", "k", "p", "pk"), Related("child", "l", "p", "pk")])
+    assert "relationships." not in found._jdf.queryExecution().analyzed().toString()
+    assert {r.prueba: r.fallas for r in found.collect()} == {"relationships.child.k.p": 1, "relationships.child.l.p": 1}
+
+
 def test_settled_rows_of_a_batch_are_not_staged_again(spark, ctx, tmp_path):
     """A batch's winners lie with its changes already; a row that takes another's place is still taken in, and taken off."""
     clients, products = silver.stg_clientes(raw(spark, CLIENTES, {}), ctx), silver.stg_productos(raw(spark, PRODUCTOS, {}))
