@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from datetime import date, datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from cauce.operators.distinct_counts import DistinctCounts
 from cauce.plans import ingest
 from cauce.schemas import MOVIMIENTOS, SOURCES
 from cauce.sources import footers
-from cauce.sources.lake import Lake
+from cauce.sources.lake import Lake, Layout, merge_snapshot, read_model, write_model
 from cauce.streaming.dedup_feed import feed_first_copies
 from tests.frames import raw
 
@@ -124,3 +125,14 @@ def test_feed_of_first_copies(spark, lake):
     assert spark.read.parquet(target).count() == 16
     with pytest.raises(ValueError, match="full"):
         feed_first_copies(lake, SOURCES["TB_CLIENTES_CORE"], target)
+
+
+def test_files_of_the_lake_are_compressed_with_zstd(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id", "date '2025-01-01' as day")
+    write_model(rows, str(tmp_path / "model"))
+    write_model(rows, str(tmp_path / "dated"), Layout("day", ("id",)))
+    merge_snapshot(Lake(spark, str(tmp_path)), rows, str(tmp_path / "snapshot"), "day", ("id",), str(tmp_path / "staging"))
+    files = [p.name for p in Path(tmp_path).rglob("part-*.parquet")]
+    assert len({p.relative_to(tmp_path).parts[0] for p in Path(tmp_path).rglob("part-*.parquet")}) == 4
+    assert all(name.endswith(".zstd.parquet") for name in files)
+    assert read_model(spark, str(tmp_path / "dated")).count() == 100
