@@ -154,3 +154,15 @@ def test_kpi(spark, ctx, dims):
 def test_reference_dimensions(spark):
     assert gold.dim_canal(spark).count() == 5 and gold.dim_geografia(spark).count() == 14
     assert gold.dim_geografia(spark).select("cod_ciudad").distinct().count() == 14
+
+
+def test_rows_without_failures_make_no_lines(spark, ctx, dims):
+    """The lines of a rejection are made for failing rows only, not for every row of the table."""
+    found = rejects.err_calidad_datos(raw(spark, MOVIMIENTOS, {}, {"vr_mov": D("0")}, {"fec_mov": None, "cod_prod": None}),
+                                      raw(spark, OBLIGACIONES, {}), raw(spark, COMISIONES, {}), *dims, ctx)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    lines = [n for n, line in enumerate(plan) if "Generate" in line]
+    assert len(lines) == 3 and all("Filter" in plan[n + 1] or "Filter" in plan[n + 2] for n in lines)
+    assert sorted((r["tipo_error"], r["motivo"]) for r in found.select("tipo_error", "motivo").collect() if r["motivo"]) == [
+        ("CAMPO_INCONSISTENTE", "vr_mov=0.00 (monto inválido)")]
+    assert found.where("motivo is null").count() == 1
