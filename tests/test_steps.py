@@ -9,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from cauce.plans import silver
+from cauce.plans.layers import Warehouse
 from cauce.queries import Tables
 from cauce.schemas import CLIENTES, MOVIMIENTOS, PRODUCTOS
+from cauce.sources.lake import Lake, Layout, merge_snapshot, write_model
 from cauce.sources.steps import CLEANUP, kept_in, shuffles_removed
 from tests.frames import raw
 from tests.test_skew import final_plan, formatted, no_broadcast, settings
@@ -67,6 +69,25 @@ def test_a_hot_day_is_still_split(spark, ctx, dims, tmp_path):
     assert found.count() == 3000
 
 
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    def rows():
+        return spark.range(1000).groupBy((F.col("id") % 9).alias("k")).agg(F.sum("id").alias("s"), F.lit(date(2025, 1, 1)).alias("day"))
+    before, setting = _shuffle_files(spark), spark.conf.get(CLEANUP, None)
+    write_model(rows(), str(tmp_path / "model"))
+    write_model(rows(), str(tmp_path / "dated"), Layout("day", ("k",)))
+    for _ in range(2):
+        merge_snapshot(Lake(spark, str(tmp_path)), rows(), str(tmp_path / "snapshot"), "day", ("k",), str(tmp_path / "staging"))
+    assert kept_in(spark, "some")(rows(), "sums").count() == 9
+    left = {name.split("_")[1] for name in _shuffle_files(spark) - before}
+    assert len(left) <= 1  # that of the count
+    assert spark.conf.get(CLEANUP, None) == setting
+
+
 def test_the_setting_is_put_back_after_the_last_of_several_writers(spark):
     before = spark.conf.get(CLEANUP, None)
     with shuffles_removed(spark):
@@ -74,3 +95,10 @@ def test_the_setting_is_put_back_after_the_last_of_several_writers(spark):
             raise ValueError
         assert spark.conf.get(CLEANUP) == "true"
     assert spark.conf.get(CLEANUP, None) == before
+
+
+def test_steps_of_a_model_go_with_its_end(spark, ctx, tmp_path):
+    w = Warehouse(Lake(spark, str(tmp_path)), ctx)
+    assert w.kept("dim_canal")(spark.range(3), "x").count() == 3
+    w.build("dim_canal")
+    assert not w.lake.names(w.lake.path("steps", "dim_canal")) and w["dim_canal"].count() == 5
