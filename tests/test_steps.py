@@ -50,10 +50,14 @@ def test_steps_give_the_rows_of_one_plan(spark, ctx, dims, movements):
 
 def test_wide_rows_are_shuffled_once_after_their_copies_have_gone(spark):
     """By client and day; neither by product nor by movement."""
-    plan = formatted(Tables(spark, "/root/testdata/sf0.001").movimientos)
+    t = Tables(spark, "/root/testdata/sf0.001")
+    plan = formatted(t.movimientos_por_pasos)
     dealt = [line for line in plan.splitlines() if "hashpartitioning(" in line]
     assert len(dealt) == 2 and all("id_cli" in line and "fec_mov" in line for line in dealt)
     assert "WindowGroupLimit" not in plan
+    # plans that read no statistics compute none, and remove no copies again either
+    narrow = formatted(t.movimientos.select("id_mov"))
+    assert "WindowGroupLimit" not in narrow and "functions=[sum(" not in narrow and "partial_sum(" not in narrow
 
 
 def test_a_hot_day_is_still_split(spark, ctx, dims, tmp_path):
