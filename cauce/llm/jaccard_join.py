@@ -52,6 +52,7 @@ MEMO = 100_000
 FLUSH_ENTRIES = 500_000
 PAGE_SHINGLES = 4_000_000
 SAMPLE = 5_000
+SHARE = 0.05
 FREQUENT = 100_000
 SEEN = 4
 BITS = 64 << 20
@@ -239,11 +240,13 @@ def _counted(width: int | None):
 
 
 def _frequent(rows: DataFrame, by: str, width: int | None) -> np.ndarray:
-    """Sorted shingles that at least SEEN of about SAMPLE rows hold, at most the FREQUENT most frequent.
+    """Sorted shingles that at least SEEN rows of a sample hold, at most the FREQUENT most frequent.
 
-    Whatever the sample holds, no link is lost; it decides only how many sets meet in vain.
+    Whatever the sample holds, no link is lost; it decides only how many sets meet in vain. It grows with the rows, so that
+    a passage is found from a number of documents on that does not grow: below it, the documents of one passage rarely have
+    a group of their own in common, above it, they tie families of many passages together, whose pages meet in pairs.
     """
-    share = min(1.0, SAMPLE / max(rows.count(), 1))
+    share = min(1.0, max(SHARE, SAMPLE / max(rows.count(), 1)))
     some = rows.where(F.pmod(F.xxhash64(F.lit("sample"), by), F.lit(1 << 30)) < int(share * (1 << 30))).dropDuplicates([by])
     found = some.mapInArrow(_counted(width), "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).where(F.col("n") >= SEEN).orderBy(
         F.desc("n"), "s").limit(FREQUENT).select("s").toPandas()
